@@ -109,6 +109,22 @@ def _released(bins: np.ndarray, lengths: np.ndarray, n: int, gap: int, size: int
     return give[bins]
 
 
+def _repacker(r: int, names: list[str], size: int, released: int):
+    """Repacks a pool of given-up bins; the new packing counts only if it has fewer bins."""
+
+    def again(t: pd.DataFrame) -> pd.DataFrame:
+        lengths = t["length"].to_numpy(np.int64)
+        bins, offsets, n = best_fit_decreasing(lengths, size)
+        old = t["sequence_id"].nunique()
+        if n < old:
+            t = t.assign(sequence_id=(r << 60) + (int(t["part"].iloc[0]) << 32) + bins, offset=offsets)
+        else:
+            n, bins = old, pd.factorize(t["sequence_id"])[0]
+        return t.assign(give=_released(bins, lengths, n, n - lower_bound(lengths, size), size, released))[names]
+
+    return again
+
+
 def pack(found: DataFrame, size: int = SIZE, rounds: int = ROUNDS, partition_pieces: int = PARTITION_PIECES, released: int = RELEASED) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, sequence_id, offset of each piece (materialised pieces)."""
     parts = pieces_for(found.count(), partition_pieces)
@@ -133,18 +149,7 @@ def pack(found: DataFrame, size: int = SIZE, rounds: int = ROUNDS, partition_pie
         if parts == 1 or rows.isEmpty():
             break
 
-        def again(t: pd.DataFrame, r: int = r) -> pd.DataFrame:
-            lengths = t["length"].to_numpy(np.int64)
-            part = int(t["part"].iloc[0])
-            bins, offsets, n = best_fit_decreasing(lengths, size)
-            old = t["sequence_id"].nunique()
-            if n < old:
-                t = t.assign(sequence_id=(r << 60) + (part << 32) + bins, offset=offsets)
-            else:
-                n, bins = old, pd.factorize(t["sequence_id"])[0]
-            return t.assign(give=_released(bins, lengths, n, n - lower_bound(lengths, size), size, released))[names]
-
-        moved = rows.withColumn("part", pool).groupBy("part").applyInPandas(again, schema)
+        moved = rows.withColumn("part", pool).groupBy("part").applyInPandas(_repacker(r, names, size, released), schema)
         kept = done.where("not give").withColumn("part", pool)
         parts = pieces_for(parts, POOL)
         done = materialize(kept.select(*names).unionByName(moved), f"packed-{r}")
