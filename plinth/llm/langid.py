@@ -5,8 +5,8 @@ points are hashed into ``BUCKETS``. The log-probability matrix (buckets x langua
 broadcast; its size is bounded by BUCKETS * 4 bytes per language. Scoring gathers matrix rows in numpy and sums
 them by document, in slices, so that long texts need no more memory.
 
-Training reads at most ``SAMPLE_PER_LANGUAGE`` documents of each language, those of the least hash of doc_id
-(a documented bound on labelled rows); every prediction uses the whole text.
+Training samples each language's documents by the hash of doc_id, at a rate that gives ``SAMPLE_PER_LANGUAGE`` of them or all if
+there are fewer (a documented bound on labelled rows); every prediction uses the whole text.
 
 Defined cases: text null or without a letter: ``und`` with score 0; no training rows: everything is ``und``;
 repeated rows get equal results.
@@ -19,7 +19,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 BUCKETS = 1 << 15
 SAMPLE_PER_LANGUAGE = 2000
@@ -106,10 +106,11 @@ def held_out(doc_id):
 
 def train(docs: DataFrame, learn, per_language: int = SAMPLE_PER_LANGUAGE) -> Model:
     """Fits on the rows of docs (doc_id, text, lang) for which the column ``learn`` holds."""
-    w = Window.partitionBy("lang").orderBy("__h", "doc_id")
     base = docs.where(learn & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    ids = base.select("lang", "doc_id", F.xxhash64("doc_id").alias("__h")).withColumn("__r", F.row_number().over(w)).where(F.col("__r") <= per_language).select("doc_id", "lang").distinct()
-    sample = base.select("doc_id", "lang", "text").join(ids, ["doc_id", "lang"], "left_semi").select("lang", "text")
+    # No language is ever sorted or gathered as a whole. The rates are a row a language, as the columns of the matrix are.
+    rates = base.groupBy("lang").agg((F.lit(float(per_language)) / F.count("*")).alias("__rate"))
+    u = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) / float(1 << 20)
+    sample = base.select("doc_id", "lang", "text").join(F.broadcast(rates), "lang").where(u < F.col("__rate")).select("lang", "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         by: dict[str, np.ndarray] = {}

@@ -10,7 +10,7 @@ number. Where the set of valid values isn't a power of the radix, the walk is cy
 | card | 13-19 digits, Luhn | all but the check digit, which is recomputed |
 | iban | country, mod 97 | letters and digits of the account part, each within its class; check digits recomputed |
 | ssn | AAA-GG-SSSS, area and group rules | nine digits, cycled to a valid one |
-| phone | 10-15 digits in phone notation | all digits behind the country code |
+| phone | 8-15 digits in phone notation | all digits behind the country code |
 | ip | four octets up to 255 | the 32-bit address |
 | date | a day of the calendar, years 1900-2099 | the day number within those years |
 | email | address | letters and digits of all but the last label, each within its class |
