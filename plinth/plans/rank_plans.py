@@ -162,11 +162,11 @@ def cause_effect_topk(spark, sf_dir):
 
 @query(f"""WITH {_CE_SQL},
 b AS (SELECT a.p_partkey, a.ord, a.score, coalesce(s.score, 0) AS second FROM rk a LEFT JOIN rk s ON a.p_partkey = s.p_partkey AND s.rank = 2 WHERE a.rank = 1)
-SELECT p_partkey, ord, round(greatest(0.0, least(1.0, (0.85 * score + 0.15 * least(1.0, greatest(0.0, score - second) / 0.15)) * CASE WHEN n >= 160 THEN 1.0 ELSE 0.7 + 0.3 * n / 160 END)), 4) AS confidence
+SELECT p_partkey, ord, round(greatest(0.0, least(1.0, (0.85 * score + 0.15 * least(1.0, greatest(0.0, score - second) / 0.15)) * CASE WHEN n >= 160 THEN 1.0 ELSE 0.7 + 0.3 * n / 160 END)), 6) AS confidence
 FROM b JOIN (SELECT p_partkey, length({PART_TEXT_SQL}) AS n FROM part) USING (p_partkey)""")
 def ce_confidence(spark, sf_dir):
     best = K.cause_best(_ce_texts(spark, sf_dir), type_items(spark, sf_dir))
-    return best.select(F.col("q").alias("p_partkey"), "ord", F.round("confidence", 4).alias("confidence"))
+    return best.select(F.col("q").alias("p_partkey"), "ord", F.round("confidence", 6).alias("confidence"))
 
 
 def centroids(spark, sf_dir) -> DataFrame:

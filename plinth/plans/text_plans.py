@@ -154,7 +154,7 @@ def catalog_signature(spark, sf_dir):
 
 @query(f"""WITH g AS (SELECT p_partkey, unnest({Q.char_grams(PART_TEXT_SQL)}) AS gram FROM part) SELECT p_partkey, gram, count(*) AS n FROM g GROUP BY ALL""")
 def char_grams(spark, sf_dir):
-    g = table(spark, sf_dir, "part").select("p_partkey", F.explode(S.char_grams(part_text())).alias("gram"))
+    g = S.gram_rows(table(spark, sf_dir, "part"), "p_partkey", part_text()).withColumnRenamed("w", "gram")
     return g.groupBy("p_partkey", "gram").agg(F.count("*").alias("n"))
 
 
