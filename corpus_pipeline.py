@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from plinth.llm import common, mixing, packing, pii, simhash_dedup, toxicity
+from plinth.llm import common, mixing, packing, pii, simhash_groups, toxicity
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -19,9 +19,10 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 3. Of each group of near-duplicates the document of the smallest doc_id stays.
 
-    As a stage on word shingles it takes five words. Its fingerprints' links are those of the operator.
+    As a stage on word shingles it takes five words and a similarity of 0.8: SimHash as wide as that needs, searched in the operator's
+    vantage-point trees. Four of 64 bits would miss most pairs of that similarity.
     """
-    return simhash_dedup.representatives(docs, words=5)
+    return simhash_groups.representatives(docs)
 
 
 def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -100,19 +100,23 @@ def connected_components(edges: DataFrame) -> DataFrame:
     less), edges are renamed and loops dropped, until none is left. The priority is salted anew in each
     round, so chains shrink by a constant factor. Nothing is sent to the driver but a row count.
     """
-    edges = materialize(edges.select("a", "b").where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "edges")
-    labels = materialize(edges.select(F.explode(F.array("a", "b")).alias("node")).distinct().withColumn("label", F.col("node")), "labels")
+    ordered = [F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")]
+    edges = materialize(edges.select("a", "b").where("a <> b").select(*ordered).distinct(), "edges")
+    few = pieces_for(edges.count(), 50_000, 4)  # tasks for what is left of a round: the links are few, the shuffle's partitions many
+    cut = lambda df, tag: materialize(df.coalesce(few), tag)
+    labels = cut(edges.select(F.explode(F.array("a", "b")).alias("node")).distinct().withColumn("label", F.col("node")), "labels")
     for salt in range(200):
         if edges.isEmpty():
             break
-        def priority(c):
-            return F.struct(F.xxhash64(F.lit(salt), c).alias("p"), c.alias("n"))  # noqa: B023
+
+        def priority(c, salt=salt):
+            return F.struct(F.xxhash64(F.lit(salt), c).alias("p"), c.alias("n"))
 
         both = edges.select(F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))).alias("e")).select("e.a", "e.b")
         parent = both.groupBy("a").agg(F.min(priority(F.col("b"))).alias("best")).select(F.col("a").alias("n"), F.least(F.col("best"), priority(F.col("a")))["n"].alias("parent"))
-        parent = materialize(parent, "parents")
-        labels = materialize(labels.join(parent, labels.label == parent.n, "left").select("node", F.coalesce("parent", "label").alias("label")), "labels")
+        parent = cut(parent, "parents")
+        labels = cut(labels.join(parent, labels.label == parent.n, "left").select("node", F.coalesce("parent", "label").alias("label")), "labels")
         left, right = parent.select(F.col("n").alias("a"), F.col("parent").alias("pa")), parent.select(F.col("n").alias("b"), F.col("parent").alias("pb"))
-        moved = edges.join(left, "a").join(right, "b").where("pa <> pb")
-        edges = materialize(moved.select(F.least("pa", "pb").alias("a"), F.greatest("pa", "pb").alias("b")).distinct(), "edges")
+        moved = edges.join(left, "a").join(right, "b").where("pa <> pb").select(F.least("pa", "pb").alias("a"), F.greatest("pa", "pb").alias("b"))
+        edges = cut(moved.distinct(), "edges")
     return labels

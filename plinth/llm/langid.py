@@ -26,6 +26,7 @@ SAMPLE_PER_LANGUAGE = 2000
 SMOOTHING = 0.5
 EVIDENCE = 100  # n-grams that a posterior counts as independent, at most
 _SLICE = 1 << 18
+_PAD = np.full(2, 32, np.uint32)
 _MULT = (np.uint32(0x9E3779B1), np.uint32(0x85EBCA77), np.uint32(0xC2B2AE3D))
 
 
@@ -55,10 +56,10 @@ def _grams(codes: np.ndarray) -> list[np.ndarray]:
 
 
 def _sliced(texts: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Folded code points of consecutive texts, each behind two spaces, with the text number of each."""
+    """Folded code points of consecutive texts, each between spaces of its own, with the text number of each."""
     held, owner, size = [], [], 0
     for i, t in enumerate(texts):
-        codes = np.concatenate([np.full(2, 32, np.uint32), _codes(t or "")])
+        codes = np.concatenate([_PAD, _codes(t or ""), _PAD[:1]])
         for at in range(0, len(codes), _SLICE):
             part = codes[at : at + _SLICE]
             held.append(part)

@@ -28,7 +28,7 @@ FRACTION = 0.6
 UNKNOWN = "unknown"
 #: (topic, substring of the lower-case text); the first that matches wins. Fixed values.
 TOPICS = (("legal", "license"), ("tabular", " | "), ("contact", "@"), ("credentials", "token ="))
-DIMENSIONS = ("__source", "__lang", "__topic")
+DIMENSIONS = ("__plinth_source", "__plinth_lang", "__plinth_topic")
 
 
 def tokens(text: Column) -> Column:
@@ -44,7 +44,7 @@ def topic(text: Column) -> Column:
 
 
 def _keys() -> dict[str, Column]:
-    return {"__source": F.coalesce(F.col("source"), F.lit(UNKNOWN)), "__lang": F.coalesce(F.col("lang"), F.lit(UNKNOWN)), "__topic": topic(F.col("text"))}
+    return {"__plinth_source": F.coalesce(F.col("source"), F.lit(UNKNOWN)), "__plinth_lang": F.coalesce(F.col("lang"), F.lit(UNKNOWN)), "__plinth_topic": topic(F.col("text"))}
 
 
 def uniform(doc_id: Column) -> Column:
@@ -65,7 +65,7 @@ def rake(cells: DataFrame, targets: dict[str, dict[str, float]] | None = None, p
     everything = Window.partitionBy(F.lit(0))
     for d in DIMENSIONS:
         name = f"__t{d}"
-        given = (targets or {}).get(d.strip("_"))
+        given = (targets or {}).get(d.rpartition("_")[2])
         if given:
             out = out.withColumn(name, F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for kv in given.items() for x in kv]), F.col(d)), F.lit(0.0)))
         else:
@@ -101,14 +101,14 @@ def mixed(docs: DataFrame, fraction: float = FRACTION, **options) -> DataFrame:
     rows = docs.select("doc_id", *[c.alias(k) for k, c in _keys().items()], tokens(F.col("text")).alias("tokens"))
     p = F.coalesce("probability", F.lit(1.0))
     joined = rows.join(of, list(DIMENSIONS), "left").withColumn("probability", p)
-    return joined.select("doc_id", F.col("__source").alias("source"), F.col("__lang").alias("lang"), F.col("__topic").alias("topic"), "tokens", "probability", (uniform(F.col("doc_id")) < F.col("probability")).alias("selected"))
+    return joined.select("doc_id", F.col("__plinth_source").alias("source"), F.col("__plinth_lang").alias("lang"), F.col("__plinth_topic").alias("topic"), "tokens", "probability", (uniform(F.col("doc_id")) < F.col("probability")).alias("selected"))
 
 
 def sample(docs: DataFrame, fraction: float = FRACTION, **options) -> DataFrame:
     """The selected rows of docs, columns as given."""
     of = probabilities(docs, fraction, **options)
-    keyed = docs.withColumns(_keys()).join(of.withColumnRenamed("probability", "__p"), list(DIMENSIONS), "left")
-    return keyed.where(uniform(F.col("doc_id")) < F.coalesce("__p", F.lit(1.0))).select(*[F.col(f"`{c}`") for c in docs.columns])
+    keyed = docs.withColumns(_keys()).join(of.withColumnRenamed("probability", "__plinth_p"), list(DIMENSIONS), "left")
+    return keyed.where(uniform(F.col("doc_id")) < F.coalesce("__plinth_p", F.lit(1.0))).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def mixing_sql(documents: str = "documents", fraction: float = FRACTION, power: float = POWER, rounds: int = ROUNDS, prefix: str = "") -> tuple[str, str]:

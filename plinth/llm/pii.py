@@ -13,8 +13,8 @@ number. Where the set of valid values isn't a power of the radix, the walk is cy
 | phone | 8-15 digits in phone notation | all digits behind the country code |
 | ip | four octets up to 255 | the 32-bit address |
 | date | a day of the calendar, years 1900-2099 | the day number within those years |
-| email | address | letters and digits of all but the last label, each within its class |
-| secret | a run of 32 or more hexadecimal digits with both letters and digits | the hexadecimal digits |
+| email | address, local part up to 64 characters | letters and digits of all but the last label, each within its class |
+| secret | a run of 32 to 128 hexadecimal digits with both letters and digits | the hexadecimal digits |
 
 The key is a parameter; without it pseudonyms can't be reversed or linked to originals.
 
@@ -99,8 +99,8 @@ def _fill(pattern: str, chars: str, is_slot=str.isdigit) -> str:
 
 _FIRST, _DAYS = date(1900, 1, 1), (date(2099, 12, 31) - date(1900, 1, 1)).days + 1
 _PATTERN = re.compile(
-    r"(?P<email>(?<![A-Za-z0-9._%+\-])[A-Za-z0-9._%+\-]++@[A-Za-z0-9\-]+(?:\.[A-Za-z0-9\-]+)*\.[A-Za-z]{2,})"
-    r"|(?P<secret>(?<![A-Za-z0-9])(?:[0-9a-f]{32,}|[0-9A-F]{32,})(?![A-Za-z0-9]))"
+    r"(?P<email>(?<![A-Za-z0-9._%+\-])[A-Za-z0-9._%+\-]{1,64}+@(?:[A-Za-z0-9\-]{1,63}\.){1,8}[A-Za-z]{2,24}(?![A-Za-z0-9]))"
+    r"|(?P<secret>(?<![A-Za-z0-9])(?:[0-9a-f]{32,128}|[0-9A-F]{32,128})(?![A-Za-z0-9]))"
     r"|(?P<iban>(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9]))"
     r"|(?P<ip>(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9]|\.[0-9]))"
     r"|(?P<date>(?<![0-9A-Za-z/.\-])(?:[0-9]{4}(?P<s1>[-/.])[0-9]{2}(?P=s1)[0-9]{2}|[0-9]{1,2}(?P<s2>[-/.])[0-9]{1,2}(?P=s2)[0-9]{4})(?![0-9A-Za-z]|[-/.][0-9]))"

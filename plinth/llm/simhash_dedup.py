@@ -174,13 +174,13 @@ def links(fps: DataFrame, max_distance: int = MAX_DISTANCE, blocks: int | None =
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(row), t, np.int32)), pa.array(leaf), pa.array(own[row].view(np.int64))], names=["tree", "leaf", "fp"])
 
     routed = fps.select("fp").mapInArrow(route, "tree int, leaf long, fp long")
-    sizes = routed.groupBy("tree", "leaf").agg(F.count("*").alias("n")).where(F.col("n") > shard_rows)
-    # A shard over the limit becomes pairs of chunks (i <= j), each its own unit of work.
-    chunks = F.ceil(F.col("n") / shard_rows)
-    chunk = F.when(F.col("n").isNull(), F.lit(0)).otherwise(F.pmod(F.xxhash64("fp"), F.coalesce(chunks, F.lit(1)))).cast("int")
-    other = F.explode(F.sequence(F.lit(0), F.coalesce(chunks, F.lit(1)).cast("int") - 1))
-    dealt = routed.join(sizes, ["tree", "leaf"], "left").withColumn("chunk", chunk).withColumn("other", other)
-    dealt = dealt.select("tree", "leaf", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"), F.when(F.col("chunk") == F.col("other"), 0).when(F.col("chunk") < F.col("other"), 1).otherwise(2).alias("side"), "fp")
+    sizes = materialize(routed.groupBy("tree", "leaf").agg(F.count("*").alias("n")).where(F.col("n") > shard_rows), "large-shards")
+    if sizes.isEmpty():
+        dealt = routed.select("tree", "leaf", F.lit(0).alias("i"), F.lit(0).alias("j"), F.lit(0).alias("side"), "fp")
+    else:  # a shard over the limit becomes pairs of chunks (i <= j), each its own unit of work
+        chunks = F.coalesce(F.ceil(F.col("n") / shard_rows).cast("int"), F.lit(1))
+        dealt = routed.join(sizes, ["tree", "leaf"], "left").withColumn("chunk", F.pmod(F.xxhash64("fp"), chunks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), chunks - 1)))
+        dealt = dealt.select("tree", "leaf", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"), F.when(F.col("chunk") == F.col("other"), 0).when(F.col("chunk") < F.col("other"), 1).otherwise(2).alias("side"), "fp")
     unit = F.xxhash64("tree", "leaf", "i", "j").alias("unit")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -231,7 +231,7 @@ def representatives(docs: DataFrame, **options) -> DataFrame:
     """
     found = components(docs, **options)
     extra = materialize(found.where("doc_id <> component_id").select("doc_id").distinct(), "followers")
-    kept = docs.join(extra.withColumnRenamed("doc_id", "__follower"), F.col("doc_id").cast("long") == F.col("__follower"), "left_anti")
+    kept = docs.join(extra.withColumnRenamed("doc_id", "__plinth_follower"), F.col("doc_id").cast("long") == F.col("__plinth_follower"), "left_anti")
     repeated = found.where("doc_id = component_id").groupBy("doc_id").count().where("count > 1")
     if repeated.isEmpty():
         return kept

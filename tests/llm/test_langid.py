@@ -12,7 +12,7 @@ def test_scores_match_a_plain_bayes(spark):
     assert m.languages == ["en", "fr"]
 
     def plain(text):
-        codes = np.concatenate([[32, 32], L._codes(text)]).astype(np.uint32)
+        codes = np.concatenate([[32, 32], L._codes(text), [32]]).astype(np.uint32)
         told = codes != 32
         told[1:] |= codes[:-1] != 32
         return [sum(m.log_p[j][h[told]].sum(dtype=np.float64) for h in L._grams(codes)) for j in range(2)]

@@ -7,18 +7,18 @@ from plinth.llm import mixing as M, queries
 
 def test_marginals(spark):
     cells = [(s, l, t, (i * 37 + 11) % 90 + 5) for i, (s, l, t) in enumerate((s, l, t) for s in "abc" for l in ("en", "de") for t in ("x", "y"))]
-    df = spark.createDataFrame(cells, "__source string, __lang string, __topic string, tokens long")
+    df = spark.createDataFrame(cells, "__plinth_source string, __plinth_lang string, __plinth_topic string, tokens long")
     targets = {"source": {"a": 0.5, "b": 0.3, "c": 0.2}, "lang": {"en": 0.6, "de": 0.4}, "topic": {"x": 0.25, "y": 0.75}}
     for one_task in (True, False):
         got = M.rake(df, targets, one_task=one_task).toPandas()
         assert got.w.sum() == pytest.approx(1)
         for d, t in targets.items():
-            assert got.groupby(f"__{d}").w.sum().to_dict() == pytest.approx(t, abs=1e-6)
+            assert got.groupby(f"__plinth_{d}").w.sum().to_dict() == pytest.approx(t, abs=1e-6)
 
 
 def test_default_targets_favour_small_groups(spark):
-    df = spark.createDataFrame([("big", "en", "g", 900), ("small", "en", "g", 100)], "__source string, __lang string, __topic string, tokens long")
-    w = {r["__source"]: r.w for r in M.rake(df, power=0.5).collect()}
+    df = spark.createDataFrame([("big", "en", "g", 900), ("small", "en", "g", 100)], "__plinth_source string, __plinth_lang string, __plinth_topic string, tokens long")
+    w = {r["__plinth_source"]: r.w for r in M.rake(df, power=0.5).collect()}
     assert w == pytest.approx({"big": 0.75, "small": 0.25})
 
 
