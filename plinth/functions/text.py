@@ -145,6 +145,17 @@ def panel(c: Column) -> Column:
     )
 
 
+def titled_section(c: Column) -> Column:
+    """The text under a Cause/Effect heading that has a line of its own, else under Discussion or Description, else empty."""
+    any_title = r"(?:Observation|Discussion|Description|Cause\s*[/&]?\s*Effect|Recommendations?)"
+
+    def under(title: str) -> Column:
+        return strip(F.regexp_extract(c, rf"(?im)^\s*{title}\s*:?[ \t]*$((?s:.*?))(?=^\s*{any_title}\s*:?[ \t]*$|\z)", 1))
+
+    cause, discussion = under(r"Cause\s*[/&]?\s*Effect"), under("(?:Discussion|Description)")
+    return F.coalesce(F.nullif(cause, F.lit("")), F.nullif(discussion, F.lit("")), F.lit(""))
+
+
 def without_first(block: Column, part: Column) -> Column:
     """The block without the first occurrence of part, letter case aside; the rests joined by a line break."""
     at = F.position(F.lower(part), F.lower(block))

@@ -66,7 +66,7 @@ def domain_class(top: Column, p: Patterns = PATTERNS) -> Column:
 def top_lines(blocks: Column, width: Column, height: Column, most: int = 14, bands: G.Bands = G.BANDS) -> Column:
     """The first non-blank lines of the blocks in the top band that start left or are wide."""
     inside = F.filter(blocks, lambda b: (b["y0"] <= bands.top * height) & ((b["x0"] <= bands.heading_x * width) | (b["x1"] - b["x0"] >= bands.heading_width * width)))
-    return F.slice(F.filter(F.transform(F.flatten(F.transform(inside, lambda b: F.split(b["text"], "\n"))), F.trim), lambda x: x != ""), 1, most)
+    return F.slice(F.filter(F.transform(F.flatten(F.transform(inside, lambda b: F.split(b["text"], "\n"))), lambda x: F.trim(x)), lambda x: x != ""), 1, most)
 
 
 def latch(df: DataFrame, group: str, order: list[str], name: str, sets: Column, clears: Column, moves: Column | None = None, value: str = "OBS") -> DataFrame:
@@ -147,6 +147,17 @@ def layout(images: DataFrame, blocks: DataFrame, bands: G.Bands = G.BANDS) -> Da
     return both.select("report_id", "page", F.coalesce(fine, F.lit(False)).alias("layout_ok"))
 
 
+def image_rects(native: DataFrame, fallback: DataFrame, listed: DataFrame) -> DataFrame:
+    """report_id, page, ord, xref: native image rectangles, or those of page blocks for pages without any native one.
+
+    A block without a reference of its own takes that of the page's listed image of the same position; rows without any are left out.
+    native, fallback: report_id, page, ord, xref; listed: report_id, page, ord, listed_xref.
+    """
+    blocks = fallback.join(native.select("report_id", "page").distinct(), ["report_id", "page"], "left_anti")
+    named = blocks.join(listed, ["report_id", "page", "ord"], "left").select("report_id", "page", "ord", F.coalesce("xref", "listed_xref").alias("xref"))
+    return native.select("report_id", "page", "ord", "xref").unionByName(named).where("xref is not null")
+
+
 def number_images(images: DataFrame, order: str = "ord") -> DataFrame:
     """Saved images with image_index (from 1 per report and page) and image_file."""
     w = Window.partitionBy("report_id", "page").orderBy(order)

@@ -159,3 +159,13 @@ FROM (SELECT *, length(o_orderpriority) AS o_shippriority FROM orders) GROUP BY
 def evaluate_batches(spark, sf_dir):
     o = table(spark, sf_dir, "orders").withColumn("loss", F.length("o_orderpriority"))
     return o.groupBy("o_custkey").agg(F.count("*").alias("n"), F.round(F.avg((F.col("o_orderstatus") == "F").cast("double")), 6).alias("accuracy"), F.round(F.sum(F.col("o_totalprice") * F.col("loss")) / F.sum("o_totalprice"), 6).alias("mean_loss"))
+
+
+@query("""WITH e AS (SELECT vec_id, list_transform(embedding[1:8], lambda x: 10 * x::DOUBLE) AS l FROM embeddings)
+SELECT vec_id, (list_position(l, list_max(l)) - 1)::INTEGER AS best, round(exp(l[3] - list_max(l)) / list_sum(list_transform(l, lambda x: exp(x - list_max(l)))), 6) AS entailment,
+round(list_max(l) + ln(list_sum(list_transform(l, lambda x: exp(x - list_max(l))))), 6) AS log_sum FROM e""")
+def logit_functions(spark, sf_dir):
+    from plinth.functions import similarity as S
+
+    e = table(spark, sf_dir, "embeddings").select("vec_id", F.transform(F.slice("embedding", 1, 8), lambda x: x.cast("double") * 10).alias("l"))
+    return e.select("vec_id", S.argmax(F.col("l")).alias("best"), F.round(S.softmax_at(F.col("l"), 2), 6).alias("entailment"), F.round(S.log_sum_exp(F.col("l")), 6).alias("log_sum"))

@@ -195,3 +195,26 @@ def domain_latch(spark, sf_dir):
     e = table(spark, sf_dir, "events")
     kind = F.when(F.col("event_type") == "click", "ROOF").when(F.col("event_type") == "purchase", "BUILDING")
     return P.last_seen(e, "user_id", ["ts", "event_id"], "domain", kind, "OTHER").select("event_id", "domain")
+
+
+@query("""WITH n AS (SELECT l_orderkey AS report_id, 1 AS page, l_linenumber AS ord, l_partkey AS xref FROM lineitem WHERE l_returnflag = 'N'),
+f AS (SELECT l_orderkey AS report_id, 1 AS page, l_linenumber AS ord, max(CASE WHEN l_linenumber % 2 = 0 THEN l_partkey END) AS xref, max(CASE WHEN l_linenumber % 3 = 0 THEN l_suppkey END) AS listed FROM lineitem WHERE l_returnflag <> 'N' GROUP BY ALL)
+SELECT * FROM n UNION ALL SELECT report_id, page, ord, coalesce(xref, listed) FROM f WHERE coalesce(xref, listed) IS NOT NULL AND report_id NOT IN (SELECT report_id FROM n)""")
+def image_rects_fallback(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("report_id"), F.lit(1).alias("page"), F.col("l_linenumber").alias("ord"), "l_partkey", "l_suppkey", "l_returnflag")
+    native = li.where("l_returnflag = 'N'").withColumn("xref", F.col("l_partkey"))
+    rest = li.where("l_returnflag <> 'N'").groupBy("report_id", "page", "ord").agg(F.max("l_partkey").alias("l_partkey"), F.max("l_suppkey").alias("l_suppkey"))
+    listed = rest.where("ord % 3 = 0").select("report_id", "page", "ord", F.col("l_suppkey").alias("listed_xref"))
+    return P.image_rects(native, rest.select("report_id", "page", "ord", F.when(F.col("ord") % 2 == 0, F.col("l_partkey")).alias("xref")), listed)
+
+
+@query(f"""WITH {RECTS_SQL}, b AS (SELECT report_id, ord, x0, x1, y0, y1, string_split(p_name || chr(10) || ' ' || chr(10) || p_type, chr(10)) AS lines FROM rects JOIN part ON l_partkey = p_partkey),
+l AS (SELECT report_id, ord, x0, y0, x1, y1, list_filter(list_transform(lines, lambda x: trim(x)), lambda x: x <> '') AS lines FROM b WHERE y0 <= 0.3 * 792.0 AND (x0 <= 0.45 * 612.0 OR x1 - x0 >= 0.6 * 612.0))
+SELECT report_id, array_to_string(flatten(list(lines ORDER BY ord, x0, y0, x1, y1, lines))[1:5], '|') AS top FROM l GROUP BY report_id""")
+def top_heading_lines(spark, sf_dir):
+    p = table(spark, sf_dir, "part").select("p_partkey", F.concat("p_name", F.lit("\n \n"), "p_type").alias("text"))
+    rows = rects(spark, sf_dir).join(p, F.col("l_partkey") == F.col("p_partkey"))
+    block = F.struct("ord", *[F.col(f"r.{c}").alias(c) for c in ("x0", "y0", "x1", "y1")], "text")
+    per_page = rows.groupBy("report_id").agg(F.array_sort(F.collect_list(block)).alias("blocks"))
+    top = P.top_lines(F.col("blocks"), F.lit(WIDTH), F.lit(HEIGHT), 5)
+    return per_page.select("report_id", F.array_join(top, "|").alias("top")).where("top <> ''")

@@ -98,6 +98,21 @@ def rule_score(spark, sf_dir):
     return R.rule_scores(texts, key="p_partkey").select("p_partkey", "label", F.col("score").cast("int").alias("score"), "accepted")
 
 
+def _info_sql() -> str:
+    def part(name, phrases):
+        hits = ", ".join(f"CASE WHEN regexp_matches(t, '(?:^|[^\\p{{L}}\\p{{N}}_]){p}(?:$|[^\\p{{L}}\\p{{N}}_])') THEN '{p}' END" for p in phrases)
+        listed = f"list_filter([{hits}], lambda x: x IS NOT NULL)"
+        return f"CASE WHEN len({listed}) > 0 THEN '{name}=' || array_to_string(({listed})[1:4], '|') END"
+
+    r = R.RULES[0]
+    return f"SELECT p_partkey, left(concat_ws('; ', {', '.join(part(n, getattr(r, n)) for n in ('must', 'any', 'effects', 'actions'))}), 160) AS info FROM (SELECT p_partkey, ' ' || {Q.norm(PART_TEXT_SQL)} || ' ' AS t FROM part)"
+
+
+@query(_info_sql())
+def rule_info(spark, sf_dir):
+    return table(spark, sf_dir, "part").select("p_partkey", R.rule_info(part_text(), R.RULES[0]).alias("info"))
+
+
 def _keywords_sql() -> str:
     per = " UNION ALL ".join(f"SELECT p_partkey, {i} AS pri, '{k}' AS sheet, {' + '.join(f"contains(t, '{w}')::INTEGER" for w in ws)} AS hits FROM t" for i, (k, ws) in enumerate(R.KEYWORDS.items()))
     return f"""WITH t AS (SELECT p_partkey, lower({PART_TEXT_SQL}) AS t FROM part), s AS ({per}),

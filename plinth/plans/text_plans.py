@@ -164,3 +164,31 @@ def header_rows(spark, sf_dir):
     return c.groupBy("conv_id").agg(F.min("turn").alias("first_turn"), F.bool_or(C.is_header(F.array("text"))).alias("headerlike"))
 
 
+
+
+@query("""SELECT p_partkey, p_name AS cleaned, p_name || chr(10) || p_type AS lines, 'by ' || p_brand AS rest, p_type AS section, CASE WHEN p_partkey % 2 = 0 THEN p_size ELSE 0 END AS number,
+CASE WHEN p_partkey % 3 = 0 THEN chr((97 + p_partkey % 26)::INTEGER) END AS letter FROM part""")
+def panel_helpers(spark, sf_dir):
+    """Texts are written from parts, so what the helpers should find in them is known."""
+    p = table(spark, sf_dir, "part")
+    footed = F.concat(F.col("p_name"), F.lit("\n  Page 3 of "), F.col("p_size").cast("string"))
+    spaced = F.concat(F.lit("\n "), "p_name", F.lit("\n\n  "), "p_type", F.lit(" \n"))
+    titled = F.concat(F.lit("Observation:\nx\nCause / Effect:\n"), "p_type", F.lit("\nRecommendation\ny"))
+    own = F.when(F.col("p_partkey") % 3 == 0, F.concat(F.lit(" ("), F.chr(F.lit(97) + F.col("p_partkey") % 26), F.lit("). "))).otherwise("ab")
+    return p.select(
+        "p_partkey",
+        T.clean_footers(footed).alias("cleaned"),
+        T.non_blank_lines(spaced).alias("lines"),
+        T.without_first(F.concat(F.upper("p_name"), F.lit(" by "), "p_brand"), F.col("p_name")).alias("rest"),
+        T.titled_section(titled).alias("section"),
+        T.safe_int(F.when(F.col("p_partkey") % 2 == 0, F.col("p_size").cast("string")).otherwise("n/a")).alias("number"),
+        T.letter(own).alias("letter"),
+    )
+
+
+@query("""SELECT p_partkey, CASE WHEN contains(lower(p_name || ' ' || p_type), lower(p_type)) THEN p_name || ' ' || p_type ELSE p_name || ' ' || p_type || ' [SEP] ' || p_type END || ' [SEP] ' || p_brand AS candidate,
+p_name || ' ' || p_name || ' ' AS weighted FROM part""")
+def candidate_texts(spark, sf_dir):
+    p = table(spark, sf_dir, "part")
+    label = F.concat_ws(" ", "p_name", "p_type")
+    return p.select("p_partkey", T.candidate_text(label, F.col("p_type"), F.col("p_brand")).alias("candidate"), T.weighted_pair(F.lit(""), F.col("p_name"), 0, 2).alias("weighted"))
