@@ -106,12 +106,17 @@ _PATTERN = re.compile(
     r"|(?P<date>(?<![0-9A-Za-z/.\-])(?:[0-9]{4}(?P<s1>[-/.])[0-9]{2}(?P=s1)[0-9]{2}|[0-9]{1,2}(?P<s2>[-/.])[0-9]{1,2}(?P=s2)[0-9]{4})(?![0-9A-Za-z]|[-/.][0-9]))"
     r"|(?P<ssn>(?<![0-9A-Za-z\-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z]|-[0-9]))"
     r"|(?P<card>(?<![0-9A-Za-z])(?:[0-9]{13,19}|[0-9]{4}(?P<s3>[ \-])[0-9]{4}(?P=s3)[0-9]{4}(?P=s3)[0-9]{1,7}|[0-9]{4}(?P<s4>[ \-])[0-9]{6}(?P=s4)[0-9]{5})(?![0-9A-Za-z]))"
-    r"|(?P<phone>(?<![0-9A-Za-z+(])(?:\+[0-9]{1,3}[ .\-]?(?:\([0-9]{1,4}\)[ .\-]?)?[0-9]{2,4}(?:[ .\-]?[0-9]{2,4}){1,4}|\([0-9]{3}\)[ .\-]?[0-9]{3}[ .\-]?[0-9]{4}|[0-9]{3}[.\-][0-9]{3}[.\-][0-9]{4})(?![0-9A-Za-z]))"
+    r"|(?P<phone>(?<![0-9A-Za-z+(])(?:\+[0-9]{1,3}[ .\-]?\([0-9]{1,4}\)[ .\-]?[0-9]{2,4}[ .\-]?[0-9]{3,4}|\+[0-9]{1,3}(?P<s5>[ .\-])[0-9]{2,4}(?:(?P=s5)[0-9]{2,4}){1,4}|\+[0-9]{8,15}|\([0-9]{3}\)[ .\-]?[0-9]{3}[ .\-]?[0-9]{4}|[0-9]{3}[.\-][0-9]{3}[.\-][0-9]{4})(?![0-9A-Za-z]))"
 )
 #: Texts without any of these can't hold personal data of the above kinds.
 _HINT = re.compile(r"[0-9]{2}|[0-9]\.[0-9]|@|[0-9a-fA-F]{32}|[0-9][/-][0-9]")
 
 
+def _shorter(kind: str, raw: str) -> list[int]:
+    """Where a match in groups may end earlier: its last groups may be another word or number."""
+    return [m.start() for m in re.finditer(r"[ .\-]", raw)][:0:-1] if kind in ("iban", "phone") else []
+
+
 class Pseudonymiser:
     def __init__(self, key: bytes = KEY):
         self.f = Feistel(key)
@@ -139,11 +144,7 @@ class Pseudonymiser:
         return _fill(raw, body + luhn_digit(body))
 
     def _iban(self, raw: str) -> str | None:
-        head, space, word = raw.rpartition(" ")
         s = raw.replace(" ", "")
-        if space and len(head) >= 15 and (len(s) > 34 or _mod97(s[4:] + s[:4]) != 1):  # the last group may be another word
-            new = self._iban(head)
-            return new and f"{new} {word}"
         if not 15 <= len(s) <= 34 or _mod97(s[4:] + s[:4]) != 1:
             return None
         account = self._classes(s[4:], f"iban{s[:2]}{len(s)}")
@@ -215,11 +216,12 @@ class Pseudonymiser:
 
         def sub(m: re.Match) -> str:
             kind = next(k for k in KINDS if m[k] is not None)
-            new = self.of(kind, m[0])
-            if new is None:
-                return m[0]
-            kinds.append(kind)
-            return new
+            raw = m[0]
+            for end in (len(raw), *_shorter(kind, raw)):
+                if (new := self.of(kind, raw[:end])) is not None:
+                    kinds.append(kind)
+                    return new + _PATTERN.sub(sub, raw[end:])
+            return raw
 
         return _PATTERN.sub(sub, text), kinds
 

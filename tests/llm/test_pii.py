@@ -56,6 +56,21 @@ def test_kinds(raw, kind):
     assert pii.Pseudonymiser(b"other").replace(raw)[0] != P.replace(raw)[0]
 
 
+@pytest.mark.parametrize(
+    ("raw", "kinds"),
+    [
+        ("+1 (017) 555-7713 129.38.82.176", ["phone", "ip"]),
+        ("+44 20 7946 0958 2021 1234 99", ["phone"]),
+        ("DE89 3704 0044 0532 0130 00 ABC", ["iban"]),
+        ("4532015112830366 4532015112830366", ["card", "card"]),
+        ("4532015112830366 123", ["card"]),
+        ("a.b@c.example.com,4532015112830366,2020-01-01", ["email", "card", "date"]),
+    ],
+)
+def test_neighbours(raw, kinds):
+    assert P.replace(f"x {raw} y")[1] == kinds
+
+
 def test_notation_does_not_matter():
     a, b = P.replace("4532015112830366")[0], P.replace("4532-0151-1283-0366")[0]
     assert a == b.replace("-", "")
