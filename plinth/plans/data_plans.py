@@ -34,11 +34,11 @@ def run_totals(spark, sf_dir):
 @query("""WITH r AS (SELECT o_custkey AS key, year(o_orderdate) AS y, count(DISTINCT o_orderpriority) AS p, count(*) AS n FROM orders GROUP BY ALL),
 p AS (SELECT * FROM r WHERE y = 1996), c AS (SELECT * FROM r WHERE y = 1997)
 SELECT coalesce(p.key, c.key) AS key, CASE WHEN p.key IS NULL THEN 'NEW' WHEN c.key IS NULL THEN 'REMOVED' WHEN p.p = c.p AND p.n = c.n THEN 'SAME' ELSE 'CHANGED' END AS status,
-p.p AS pages_before, p.n AS images_before, c.p AS pages_now, c.n AS images_now FROM p FULL JOIN c ON p.key = c.key""")
+coalesce(p.p, 0) AS pages_before, coalesce(p.n, 0) AS images_before, coalesce(c.p, 0) AS pages_now, coalesce(c.n, 0) AS images_now FROM p FULL JOIN c ON p.key = c.key""")
 def snapshot_diff(spark, sf_dir):
     o = table(spark, sf_dir, "orders")
     of = lambda y: o.where(F.year("o_orderdate") == y).groupBy(F.col("o_custkey").alias("key")).agg(F.countDistinct("o_orderpriority").alias("pages_used"), F.count("*").alias("images"))
-    return R.diff(of(1996), of(1997))
+    return R.diff(of(1996), of(1997)).fillna(0)  # of no run: 0
 
 
 @query("SELECT doc_id, source FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
