@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from plinth.functions import similarity as S, text as T
 from plinth.operators import cascade as K, catalogue as C, ranking as R, reports
 from plinth.plans import sqlgen as Q
-from plinth.plans.registry import query, table
+from plinth.plans.registry import query, spread, table
 from plinth.plans.text_plans import PART_TEXT_SQL, part_text
 
 
@@ -50,7 +50,7 @@ def _terms(items: DataFrame) -> DataFrame:
 
 
 def _asked(spark, sf_dir) -> DataFrame:
-    return table(spark, sf_dir, "documents").select("doc_id", T.words(T.norm(F.col("text"))).alias("terms"))
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", T.words(T.norm(F.col("text"))).alias("terms"))
 
 
 @query(f"WITH {_POSTINGS_SQL}, {_BM25_SQL} SELECT doc_id, 'B' || ord::VARCHAR AS observation_id, round(score, 4) AS score, CASE WHEN 0.88 > 0.5 THEN 'high' ELSE 'low' END AS bucket FROM bmr WHERE r = 1 AND score >= 3.0 AND score - coalesce(second, 0) >= 0.15 * greatest(1e-6, abs(score))")
@@ -72,7 +72,7 @@ b AS (SELECT doc_id, ord, 'tfidf' AS method, score FROM tfr WHERE r = 1 AND scor
 SELECT doc_id, method, ord, round(score, 4) AS score FROM (SELECT * FROM a UNION ALL SELECT * FROM b)""")
 def light_infer(spark, sf_dir):
     """No document holds the phrases of the seed rules, so their tier stays empty here; rule_score covers it."""
-    texts = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("q"), "text")
+    texts = spread(table(spark, sf_dir, "documents").select(F.col("doc_id").alias("q"), "text"))
     found = K.light(texts, benchmark_items(spark, sf_dir))
     return found.select(F.col("q").alias("doc_id"), "method", "ord", F.round("score", 4).alias("score"))
 
@@ -195,11 +195,11 @@ _SIM = "round(list_sum(list_transform(list_zip(embedding, iv), lambda p: p[1]::D
 
 
 @query(f"""WITH {_CENTROIDS_SQL}, s AS (SELECT vec_id, ord, {_SIM} AS sim FROM embeddings, i),
-r AS (SELECT *, (row_number() OVER (PARTITION BY vec_id ORDER BY sim DESC, ord))::INTEGER AS rank FROM s) SELECT vec_id, ord, rank, round(sim, 4) AS sim FROM r WHERE rank <= 3""")
+r AS (SELECT *, (row_number() OVER (PARTITION BY vec_id ORDER BY sim DESC, ord))::INTEGER AS rank FROM s) SELECT vec_id, ord, rank, sim FROM r WHERE rank <= 3""")
 def vector_topk(spark, sf_dir):
     e = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("q"), F.col("embedding").alias("v"), F.lit(-1).alias("sheet"))
     found = R.vector_candidates(e, centroids(spark, sf_dir), k=3, least=-2.0)
-    return found.select(F.col("q").alias("vec_id"), "ord", "rank", F.round("sim", 4).alias("sim"))
+    return found.select(F.col("q").alias("vec_id"), "ord", "rank", "sim")
 
 
 _FIRST_SQL = f"""{_CENTROIDS_SQL}, s AS (SELECT vec_id, ord, {_SIM} AS sim, (label % 3 = isheet)::INTEGER AS same_sheet FROM embeddings, i),
@@ -211,9 +211,9 @@ def _sheet_first(spark, sf_dir) -> DataFrame:
     return R.vector_candidates(e, centroids(spark, sf_dir), k=5)
 
 
-@query(f"WITH {_FIRST_SQL} SELECT vec_id, ord, rank, same_sheet, round(sim, 4) AS sim FROM k")
+@query(f"WITH {_FIRST_SQL} SELECT vec_id, ord, rank, same_sheet, sim FROM k")
 def vector_sheet_first(spark, sf_dir):
-    return _sheet_first(spark, sf_dir).select(F.col("q").alias("vec_id"), "ord", "rank", "same_sheet", F.round("sim", 4).alias("sim"))
+    return _sheet_first(spark, sf_dir).select(F.col("q").alias("vec_id"), "ord", "rank", "same_sheet", "sim")
 
 
 @query(f"""WITH {_FIRST_SQL}, c AS (SELECT *, round(greatest(0.0, least(1.0, 0.5 + sim / 2)), 6) AS entail FROM k),

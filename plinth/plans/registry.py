@@ -14,6 +14,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deals a scan of fewer partitions than cores to all cores, for work that costs far more than moving the rows.
+
+    A table with a single row group is one task, however long its texts take. Large inputs have more partitions than cores and stay as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def query(sql: str | None):
     """Registers a query under its function's name; None where SQL can't express it."""
 
