@@ -25,6 +25,7 @@ from plinth.llm.common import materialize
 ROUNDS = 12
 POWER = 0.5
 FRACTION = 0.6
+ONE_TASK_CELLS = 100_000  # a cell table up to this size is raked without shuffles; the results are the same either way
 UNKNOWN = "unknown"
 #: (topic, substring of the lower-case text); the first that matches wins. Fixed values.
 TOPICS = (("legal", "license"), ("tabular", " | "), ("contact", "@"), ("credentials", "token ="))
@@ -56,8 +57,7 @@ def uniform(doc_id: Column) -> Column:
 def rake(cells: DataFrame, targets: dict[str, dict[str, float]] | None = None, power: float = POWER, rounds: int = ROUNDS, one_task: bool = True) -> DataFrame:
     """cells (DIMENSIONS, tokens) with their raked weight ``w``, which sums to 1 over cells with tokens.
 
-    one_task: the cell table is small (its size is the number of distinct triples) and is raked without shuffles; turn it off for
-    millions of cells.
+    one_task: rake without shuffles, for a small cell table (its size is the number of distinct triples).
     """
     out = cells.where("tokens > 0")
     if one_task:
@@ -89,6 +89,7 @@ def probabilities(docs: DataFrame, fraction: float = FRACTION, **options) -> Dat
     """DIMENSIONS, probability per cell of docs."""
     rows = docs.select(*[c.alias(k) for k, c in _keys().items()], tokens(F.col("text")).alias("tokens"))
     cells = materialize(rows.groupBy(*DIMENSIONS).agg(F.sum("tokens").alias("tokens")), "cells")
+    options.setdefault("one_task", cells.count() <= ONE_TASK_CELLS)
     raked = rake(cells, **options)
     total = F.sum("tokens").over(Window.partitionBy(F.lit(0)))
     scaled = raked.withColumn("probability", F.least(F.lit(1.0), F.col("w") * fraction * total / F.col("tokens")))

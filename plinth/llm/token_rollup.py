@@ -35,6 +35,7 @@ UNKNOWN = "unknown"
 KEY = ("source", "lang", "tokenizer")
 TOKENIZER_DIR = "/opt/tokenizers"
 BPE, WORDS = "byte_bpe_50k", "words_v1"
+FILES = 8  # of a batch or base: totals are small, but not one task's work at any number of keys
 CHANGES = "doc_id long, kind string, source string, lang string, tokenizer string, tokens long, old_tokens long"
 
 
@@ -101,7 +102,7 @@ class Rollup:
         if batch_id in self._base()[1] or common.exists(self.spark, f"{self.path}/batches/{batch_id}"):
             return False
         staging = f"{self.path}/staging/{batch_id}-{common.uuid.uuid4().hex[:8]}"
-        deltas(batch).coalesce(1).write.parquet(staging)
+        deltas(batch).coalesce(FILES).write.parquet(staging)
         done = common.rename(self.spark, staging, f"{self.path}/batches/{batch_id}")
         if not done:  # another writer was first
             common.delete(self.spark, staging)
@@ -122,7 +123,7 @@ class Rollup:
         folded = self.committed()
         at = len(common.children(self.spark, f"{self.path}/base"))
         staging = f"{self.path}/staging/base-{common.uuid.uuid4().hex[:8]}"
-        self.totals().coalesce(1).write.parquet(f"{staging}/totals")
+        self.totals().coalesce(FILES).write.parquet(f"{staging}/totals")
         self.spark.createDataFrame([(json.dumps(folded),)], "value string").coalesce(1).write.text(f"{staging}/folded")
         common.rename(self.spark, staging, f"{self.path}/base/{at:08d}")
         for b in folded:
