@@ -1,4 +1,4 @@
-"""Near-duplicate groups by similarity: wide SimHash, vantage-point trees over bit blocks, verified minimum spanning links.
+"""Near-duplicate groups by similarity: wide SimHash, vantage-point trees over bit blocks, components decided by whole shingle sets.
 
 Four bits of 64 is a narrow link: two texts whose shingle sets have a Jaccard similarity of 0.8 differ in about 15 % of SimHash bits. Here fingerprints are as wide as
 the number of documents needs: blocks of b bits (more for more documents, so that shards stay small), and so many blocks that two texts at
@@ -6,12 +6,12 @@ the least similarity share a block, and so a shard, with probability ``RECALL``.
 ``simhash_dedup``); in a shard all pairs are compared by their whole fingerprints, in blocks of rows.
 
 A shard gives the minimum spanning forest of its pairs within the widest distance that similar texts reach, so at most one link per fingerprint and never all
-pairs of a group. Single-linkage groups at any threshold are those of the spanning forest, so verifying its links alone decides
-all: a link stays if the Jaccard similarity of the two bottom-k sketches of shingle hashes (exact for texts of up to
-``SKETCH`` shingles) reaches the least similarity.
+pairs of a group. These links only say which texts belong to one candidate component; the two measures rank pairs differently, so they don't
+decide. In a component all pairs are compared by their whole shingle sets, and the groups are those of the pairs that reach the least similarity. Sets are made
+again from the texts of components only.
 
-The estimates' errors are documented, not hidden: links at the least similarity are candidates with probability RECALL, and texts over SKETCH shingles
-have a similarity known within about 0.025.
+What is not exact: two texts of more than ``FEW`` shingles at the least similarity come into one component by their own shards with a probability designed to be RECALL (more
+above it, and by way of other texts). Shorter texts have many ties in their bits; they get a shard for each of their least shingle hashes and lose no link.
 
 Defined cases: null and empty texts, and texts without words, are copies of each other; shorter texts than a shingle are one shingle; repeated rows and null doc_ids as in
 ``simhash_dedup``.
@@ -34,6 +34,8 @@ WORDS = 5
 SIMILARITY = 0.8
 RECALL = 0.97
 SKETCH = 256
+FEW = 32  # texts of up to so many shingles are found by shared hashes
+UNIT = 256  # sets compared at once
 BROADCAST_ROWS = 200_000  # keys of up to some 100 bytes; longer lists are joined by shuffle
 SHARD_ROWS = 2048
 _ODD = 0x9E3779B97F4A7C15
@@ -87,15 +89,159 @@ def wide_fingerprint(hashes: np.ndarray, width: int) -> bytes:
     return np.packbits(np.concatenate(bits), bitorder="little").tobytes()
 
 
-def prints(docs: DataFrame, width: int, words: int = WORDS, sketch: int = SKETCH) -> DataFrame:
-    """doc_id, fp binary, sketch (the least shingle hashes, 8 bytes each)."""
+def prints(docs: DataFrame, width: int, words: int = WORDS) -> DataFrame:
+    """doc_id, fp binary, few (the shingle hashes, 8 bytes each, of a text of up to FEW shingles, else null)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             hashes = [shingle_hashes(t, words) for t in b.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([wide_fingerprint(h, width) for h in hashes], pa.binary()), pa.array([h[:sketch].tobytes() for h in hashes], pa.binary())], names=["doc_id", "fp", "sketch"])
+            few = [h.tobytes() if 0 < len(h) <= FEW else None for h in hashes]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([wide_fingerprint(h, width) for h in hashes], pa.binary()), pa.array(few, pa.binary())], names=["doc_id", "fp", "few"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, fp binary, sketch binary")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, fp binary, few binary")
+
+
+def shingle_sets(docs: DataFrame, nodes: DataFrame, width: int, words: int = WORDS) -> DataFrame:
+    """fp, hashes (all shingle hashes) of the fingerprints in nodes (fp, least_id); only texts of those doc_ids are read."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            hashes = [shingle_hashes(t, words) for t in b.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array([wide_fingerprint(h, width) for h in hashes], pa.binary()), pa.array([h.tobytes() for h in hashes], pa.binary())], names=["fp", "hashes"])
+
+    ids = materialize(nodes.select("least_id").distinct(), "wide-ids")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(checked(ids), F.col("doc_id").eqNullSafe(F.col("least_id")), "left_semi")
+    found = texts.select("text").mapInArrow(run, "fp binary, hashes binary")
+    return found.join(checked(nodes.select("fp")), "fp", "left_semi").groupBy("fp").agg(F.first("hashes").alias("hashes"))
+
+
+def similar_links(sets: list[np.ndarray], sub: np.ndarray, side: np.ndarray, similarity: float = SIMILARITY) -> list[tuple[int, int]]:
+    """A spanning forest of the pairs of sets whose Jaccard similarity is at least ``similarity``.
+
+    Pairs of one sub-group (which are linked already) and of one side (unless 0) are left out. Common shingles are counted by matrix products over slabs of shingles.
+    """
+    n, sizes = len(sets), np.array([len(x) for x in sets], np.int64)
+    open_ = (sub[:, None] != sub) & ((side[:, None] == 0) | (side[:, None] != side))
+    if not open_.any():
+        return []
+    _, at, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    who, twice = np.repeat(np.arange(n), sizes), count[at] > 1
+    column, who = (np.cumsum(count > 1) - 1)[at[twice]], who[twice]
+    order = np.argsort(column, kind="stable")
+    column, who = column[order], who[order]
+    shared, last = np.zeros((n, n), np.float32), int((count > 1).sum())
+    for lo in range(0, last, 4096):
+        b, e = np.searchsorted(column, (lo, lo + 4096))
+        slab = np.zeros((n, min(4096, last - lo)), np.float32)
+        slab[who[b:e], column[b:e] - lo] = 1
+        shared += slab @ slab.T
+    union = sizes[:, None] + sizes - shared.astype(np.int64)
+    near = open_ & (np.where(union > 0, shared / np.maximum(union, 1), 1.0) >= similarity)
+    unseen, out = np.ones(n, bool), []
+    for start in range(n):
+        if not unseen[start]:
+            continue
+        unseen[start], reached = False, [start]
+        while reached:
+            i = reached.pop()
+            new = np.flatnonzero(near[i] & unseen).tolist()
+            unseen[new] = False
+            out += [(i, j) for j in new]
+            reached += new
+    return out
+
+
+def set_links(dealt: DataFrame, rows: int, similarity: float = SIMILARITY) -> DataFrame:
+    """a, b (binary): similar_links of each unit of dealt (unit long, side int, fp, sub binary, hashes)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
+
+        def solve() -> pa.RecordBatch:
+            links = []
+            if len(held) > 1:
+                _, sub = np.unique(np.array([h[3] for h in held], object), return_inverse=True)
+                links = similar_links([np.frombuffer(h[4], np.uint64) for h in held], sub, np.array([h[1] for h in held]), similarity)
+            return pa.RecordBatch.from_arrays([pa.array([held[i][2] for i, _ in links], pa.binary()), pa.array([held[j][2] for _, j in links], pa.binary())], names=["a", "b"])
+
+        for b in batches:
+            for row in zip(*(b.column(i).to_pylist() for i in range(5)), strict=True):
+                if held and held[0][0] != row[0]:
+                    yield solve()
+                    held = []
+                held.append(row)
+        if held:
+            yield solve()
+
+    units = dealt.select("unit", "side", "fp", "sub", "hashes").repartition(pieces_for(rows, 5_000, 8), "unit").sortWithinPartitions("unit")
+    return units.mapInArrow(run, "a binary, b binary").where("a <> b").distinct()
+
+
+def few_links(few: DataFrame, rows: int, similarity: float = SIMILARITY) -> DataFrame:
+    """a, b (binary): all links of short texts (fp, few), but those within the forest of a shared hash.
+
+    Sets of similarity s share one of their n - ceil(s n) + 1 least hashes, so a shard for each of these loses none.
+    """
+
+    def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            fps, sets, shards = [], [], []
+            for fp, few in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                h = np.frombuffer(few, np.int64)
+                least = h[: len(h) - math.ceil(similarity * len(h) - 1e-9) + 1].tolist()
+                shards += least
+                fps += [fp] * len(least)
+                sets += [few] * len(least)
+            yield pa.RecordBatch.from_arrays([pa.array(shards, pa.int64()), pa.array(fps, pa.binary()), pa.array(sets, pa.binary())], names=["shard", "fp", "hashes"])
+
+    routed = few.select("fp", "few").mapInArrow(route, "shard long, fp binary, hashes binary")
+    counts = materialize(routed.groupBy("shard").agg(F.count("*").alias("n")).where("n > 1"), "few-shards")
+    return set_links(_units(routed, counts, UNIT, "inner").withColumn("sub", F.col("fp")), rows * 4, similarity)
+
+
+def _units(routed: DataFrame, counts: DataFrame, size: int, how: str) -> DataFrame:
+    """routed (shard, fp, ...) with unit and side: shards over ``size`` rows (n in counts) become pairs of chunks."""
+    chunks = F.coalesce(F.ceil(F.col("n") / size).cast("int"), F.lit(1))
+    dealt = routed.join(counts, "shard", how).withColumn("chunk", F.pmod(F.xxhash64("fp"), chunks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), chunks - 1)))
+    unit = F.xxhash64("shard", F.least("chunk", "other"), F.greatest("chunk", "other")).alias("unit")
+    side = F.when(F.col("chunk") == F.col("other"), 0).when(F.col("chunk") < F.col("other"), 1).otherwise(2).alias("side")
+    return dealt.select(unit, side, *[c for c in routed.columns if c != "shard"])
+
+
+def verified_links(candidates: DataFrame, sets: DataFrame, similarity: float = SIMILARITY, unit: int = UNIT) -> DataFrame:
+    """a, b (binary): links whose groups are the single-linkage groups of each component of candidates (fp, component).
+
+    All pairs of a component are decided by their whole shingle sets (fp, hashes). A component of up to ``unit`` texts is one unit. A larger one is
+    first dealt into units three times, each time otherwise; then all texts outside its main group so far meet all its texts, in pairs of chunks.
+    """
+    sizes = materialize(candidates.groupBy("component").agg(F.count("*").alias("n")), "wide-sizes")
+    number = candidates.count()
+
+    def dealt_once(of: DataFrame, salt: int) -> DataFrame:
+        chunk = F.pmod(F.xxhash64(F.lit(salt), "fp"), F.ceil(F.col("n") / unit))
+        return of.select(F.xxhash64("component", chunk).alias("unit"), F.lit(0).alias("side"), "fp", F.col("fp").alias("sub")).join(sets, "fp")
+
+    out = materialize(set_links(dealt_once(candidates.join(sizes, "component"), 0), number, similarity), "wide-verified")
+    large = sizes.where(F.col("n") > unit)
+    if large.isEmpty():
+        return out
+    of = materialize(candidates.join(large, "component"), "wide-large")
+    for salt in (1, 2):
+        out = out.unionByName(materialize(set_links(dealt_once(of, salt), number, similarity), "wide-verified"))
+    sub = connected_components(out).select(F.col("node").alias("fp"), F.col("label").alias("sub"))
+    of = materialize(of.join(sub, "fp", "left").withColumn("sub", F.coalesce("sub", "fp")), "wide-subs")
+    by_sub = of.groupBy("component", "sub").agg(F.count("*").alias("k"), F.first("n").alias("n"))
+    main = by_sub.groupBy("component").agg(F.max_by("sub", F.struct("k", "sub")).alias("main"), (F.first("n") - F.max("k")).alias("others")).where("others > 0")
+    main = materialize(main, "wide-main")
+    if main.isEmpty():
+        return out
+    of = of.join(main, "component").withColumn("ends", F.ceil(F.col("n") / unit).cast("int")).withColumn("rows", F.ceil(F.col("others") / unit).cast("int"))
+    at = lambda chunks: F.pmod(F.xxhash64(F.lit(3), "fp"), F.col(chunks)).cast("int")
+    every = lambda chunks: F.explode(F.sequence(F.lit(0), F.col(chunks) - 1))
+    left = of.where(F.col("sub") != F.col("main")).withColumn("r", at("rows")).withColumn("e", every("ends")).withColumn("side", F.lit(1))
+    right = of.withColumn("e", at("ends")).withColumn("r", every("rows")).withColumn("side", F.lit(2)).select(left.columns)
+    both = left.unionByName(right).select(F.xxhash64("component", "r", "e").alias("unit"), "side", "fp", "sub")
+    return out.unionByName(materialize(set_links(both.join(sets, "fp"), both.count(), similarity), "wide-verified"))
 
 
 def sketch_similarity(a: bytes, b: bytes, k: int = SKETCH) -> float:
@@ -190,10 +336,8 @@ def candidate_links(fps: DataFrame, rows: int, bits: int, blocks: int, most: int
     large = materialize(large, "large-shards")
     if large.isEmpty():
         dealt = routed.select(F.col("shard").alias("unit"), F.lit(0).alias("side"), "fp")
-    else:  # pairs of chunks
-        chunks = F.coalesce(F.ceil(F.col("n") / shard_rows).cast("int"), F.lit(1))
-        dealt = routed.join(large, "shard", "left").withColumn("chunk", F.pmod(F.xxhash64("fp"), chunks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), chunks - 1)))
-        dealt = dealt.select(F.xxhash64("shard", F.least("chunk", "other"), F.greatest("chunk", "other")).alias("unit"), F.when(F.col("chunk") == F.col("other"), 0).when(F.col("chunk") < F.col("other"), 1).otherwise(2).alias("side"), "fp")
+    else:
+        dealt = _units(routed, large, shard_rows, "left")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, np.ndarray, list[bytes]]] = []
@@ -248,20 +392,12 @@ def groups(docs: DataFrame, words: int = WORDS, similarity: float = SIMILARITY,
     found = materialize(prints(docs, width, words), "wide-prints")
     distinct = materialize(found.groupBy("fp").agg(F.min("doc_id").alias("least_id")), "wide-distinct")
     links = materialize(candidate_links(distinct, distinct.count(), bits, blocks, most, shard_rows), "wide-links")
-    # Sketches are fetched for linked fingerprints only.
-    nodes = materialize(links.select(F.explode(F.array("a", "b")).alias("fp")).distinct(), "wide-nodes")
-    sketches = found.select("fp", "sketch").join(checked(nodes), "fp", "left_semi").groupBy("fp").agg(F.first("sketch").alias("sketch"))
-    sketches = materialize(sketches, "wide-sketches")
-    of = lambda x: sketches.select(F.col("fp").alias(x), F.col("sketch").alias(f"{x}_sketch"))
-    both = links.join(of("a"), "a").join(of("b"), "b")
-
-    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            fine = [sketch_similarity(x, y) >= similarity for x, y in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True)]
-            yield b.select(["a", "b"]).filter(pa.array(fine, pa.bool_()))
-
-    verified = both.select("a", "b", "a_sketch", "b_sketch").mapInArrow(verify, "a binary, b binary")
-    labels = connected_components(verified).withColumnRenamed("node", "fp")
+    few = materialize(found.where("few is not null").select("fp", "few").distinct(), "wide-few")
+    short = materialize(few_links(few, few.count(), similarity), "few-links")
+    candidates = materialize(connected_components(links.unionByName(short)).select(F.col("node").alias("fp"), F.col("label").alias("component")), "wide-nodes")
+    nodes = materialize(distinct.join(checked(candidates.select("fp")), "fp", "left_semi").select("fp", "least_id"), "wide-linked")
+    sets = materialize(shingle_sets(docs, nodes, width, words), "wide-sets")
+    labels = connected_components(verified_links(candidates, sets, similarity)).withColumnRenamed("node", "fp")
     named = distinct.select("fp", "least_id").join(labels, "fp", "left").withColumn("label", F.coalesce("label", "fp"))
     ids = named.groupBy("label").agg(F.min("least_id").alias("group_id"))
     return found.select("doc_id", "fp").join(named.join(ids, "label").select("fp", "group_id"), "fp").select("doc_id", "group_id")

@@ -90,3 +90,52 @@ def test_plan_grows_with_the_corpus():
     for n in (1, 10**3, 10**6, 10**9):
         bits, blocks, most = G.plan(n)
         assert -(-bits * blocks // 64) * 64 - bits < bits * blocks and most < bits * blocks / 2
+
+
+def brute_groups(sets, similarity=G.SIMILARITY):
+    """The least index of each single-linkage group."""
+    group = list(range(len(sets)))
+    for i in range(len(sets)):
+        for j in range(i):
+            if group[i] != group[j] and jaccard(sets[i], sets[j]) >= similarity:
+                lo, hi = sorted((group[i], group[j]))
+                group = [lo if g == hi else g for g in group]
+    return group
+
+
+def edited(rng, base, share):
+    """base with words replaced until the similarity of the shingle sets is about ``share``."""
+    out, own, mark = list(base), G.shingle_hashes(" ".join(base)), int(rng.integers(1 << 40))
+    for n, at in enumerate(rng.permutation(len(base))):
+        tried = [*out[:at], f"z{mark}x{n}", *out[at + 1 :]]
+        if jaccard(G.shingle_hashes(" ".join(tried)), own) < share:
+            return out
+        out = tried
+    return out
+
+
+def test_copies_of_one_text_that_differ_among_themselves(spark):
+    """Copies at 0.8 to 0.87 of one text are about 0.7 to each other: each has its link to the text only."""
+    rng = np.random.default_rng(5)
+    base = [f"w{i}" for i in rng.integers(0, 10**6, 204)]
+    texts = [" ".join(base)] + [" ".join(edited(rng, base, share)) for share in rng.uniform(0.8, 0.87, 150)]
+    sets = [G.shingle_hashes(t) for t in texts]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    want = brute_groups(sets)
+    assert want == [0] * len(texts)
+    assert [r.group_id for r in G.groups(df).orderBy("doc_id").collect()] == want
+
+
+def test_large_components_are_dealt_out(spark):
+    rng = np.random.default_rng(6)
+    base = [f"w{i}" for i in rng.integers(0, 10**6, 204)]
+    texts = [" ".join(base)] + [" ".join(edited(rng, base, share)) for share in rng.uniform(0.77, 0.87, 40)]
+    sets = [G.shingle_hashes(t) for t in texts]
+    key = lambda i: i.to_bytes(2, "big")
+    candidates = spark.createDataFrame([(key(i), b"c") for i in range(len(sets))], "fp binary, component binary")
+    held = spark.createDataFrame([(key(i), h.tobytes()) for i, h in enumerate(sets)], "fp binary, hashes binary")
+    group = list(range(len(sets)))
+    for r in G.verified_links(candidates, held, unit=8).collect():
+        lo, hi = sorted((group[int.from_bytes(r.a, "big")], group[int.from_bytes(r.b, "big")]))
+        group = [lo if g == hi else g for g in group]
+    assert group == brute_groups(sets) and len(set(group)) > 1
