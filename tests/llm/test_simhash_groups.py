@@ -139,3 +139,21 @@ def test_large_components_are_dealt_out(spark):
         lo, hi = sorted((group[int.from_bytes(r.a, "big")], group[int.from_bytes(r.b, "big")]))
         group = [lo if g == hi else g for g in group]
     assert group == brute_groups(sets) and len(set(group)) > 1
+
+
+def test_long_texts_are_decided_by_whole_sets(spark):
+    """Pairs of 1,200 shingles next to 0.8, where the least 256 hashes say otherwise for many."""
+    rng, texts = np.random.default_rng(7), []
+    for _ in range(30):
+        base = [f"w{i}" for i in rng.integers(0, 10**6, 1204)]
+        texts += [" ".join(base), " ".join(edited(rng, base, rng.uniform(0.78, 0.82)))]
+    sets = [G.shingle_hashes(t) for t in texts]
+    pairs = range(0, len(sets), 2)
+    want = [jaccard(sets[i], sets[i + 1]) >= 0.8 for i in pairs]
+    assert 5 < sum(want) < 25
+    assert [G.sketch_similarity(sets[i][:256].tobytes(), sets[i + 1][:256].tobytes()) >= 0.8 for i in pairs] != want
+    key = lambda i: i.to_bytes(2, "big")
+    candidates = spark.createDataFrame([(key(i), key(i // 2)) for i in range(len(sets))], "fp binary, component binary")
+    held = spark.createDataFrame([(key(i), h.tobytes()) for i, h in enumerate(sets)], "fp binary, hashes binary")
+    linked = {int.from_bytes(r.a, "big") // 2 for r in G.verified_links(candidates, held).collect()}
+    assert linked == {i // 2 for i, w in zip(pairs, want, strict=True) if w}
