@@ -157,3 +157,17 @@ def test_long_texts_are_decided_by_whole_sets(spark):
     held = spark.createDataFrame([(key(i), h.tobytes()) for i, h in enumerate(sets)], "fp binary, hashes binary")
     linked = {int.from_bytes(r.a, "big") // 2 for r in G.verified_links(candidates, held).collect()}
     assert linked == {i // 2 for i, w in zip(pairs, want, strict=True) if w}
+
+
+def test_short_texts_lose_no_link(spark):
+    """Nine words against the same without the last: five and four shingles, similarity 0.8. And all other lengths up to FEW."""
+    rng, texts = np.random.default_rng(8), []
+    for i in range(400):
+        words = [f"w{x}" for x in rng.integers(0, 10**6, 9 + i % 28)]
+        cut = max(1, (len(words) - 4) // 5)
+        texts += [" ".join(words), " ".join(words[:-cut])]
+    sets = [G.shingle_hashes(t) for t in texts]
+    assert all(jaccard(sets[i], sets[i + 1]) >= 0.8 for i in range(0, len(sets), 2))
+    few = spark.createDataFrame([(i.to_bytes(2, "big"), h.tobytes()) for i, h in enumerate(sets)], "fp binary, few binary")
+    found = {tuple(sorted((int.from_bytes(r.a, "big"), int.from_bytes(r.b, "big")))) for r in G.few_links(few, len(sets)).collect()}
+    assert found == {(i, i + 1) for i in range(0, len(sets), 2)}
