@@ -85,8 +85,12 @@ def slug(c: Column) -> Column:
     return F.when(bare == "", F.lit("model")).otherwise(bare)
 
 
+def file_name(path: Column) -> Column:
+    return F.substring_index(path, "/", -1)
+
+
 def file_stem(path: Column) -> Column:
-    return F.regexp_replace(F.element_at(F.split(path, "/"), -1), r"(?<=.)\.[^.]*$", "")
+    return F.regexp_replace(file_name(path), r"(?<=.)\.[^.]*$", "")
 
 
 def report_of_image(path: Column) -> Column:

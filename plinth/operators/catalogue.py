@@ -66,6 +66,18 @@ def group_options(options: DataFrame, keys: list[str], order: str = "seq") -> Da
     return grouped.select(*keys, F.transform("o", lambda x: x["letter"]).alias("choice_order"), F.map_from_arrays(F.transform("o", lambda x: x["letter"]), F.transform("o", lambda x: x["value"])).alias("recommendations"))
 
 
+def items_of_rows(rows: DataFrame) -> DataFrame:
+    """sheet, id, label, cause_effect, choice_order, recommendations of workbook rows (sheet, row_no and the six cells c_id .. c_text).
+
+    A sheet's header goes. An item is a row with an id and what follows up to the next id; blank rows inside count as options. Items of an id without a label are left out, with their rows.
+    """
+    cells = ["c_id", "c_observation", "c_cause_effect", "c_letter", "c_choice", "c_text"]
+    named = {"id": F.col("c_id"), "label": F.col("c_observation"), "cause_effect": F.col("c_cause_effect")}
+    blocks = fill_blocks(drop_header(rows, cells).withColumns(named), "sheet", "row_no", F.col("c_id") != "", F.col("c_observation") != "", list(named))
+    options = blocks.select("sheet", *named, F.col("row_no").alias("seq"), option_letter(F.col("c_letter"), F.col("block_pos").cast("int")).alias("letter"), F.col("c_choice").alias("choice"), F.col("c_text").alias("text"))
+    return group_options(options, ["sheet", *named])
+
+
 def items(labels: DataFrame) -> DataFrame:
     """labels (ord, id, label, sheet) with sheet_key, sheet_title, canon, label_terms; blank labels are left out."""
     named = labels.where(T.strip(F.coalesce("label", F.lit(""))) != "")
