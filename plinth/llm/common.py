@@ -5,13 +5,26 @@ from __future__ import annotations
 import atexit
 import math
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+ROUNDS = 200  # of contraction; a chain of any length needs some 2 log2 of it
 _written: list[str] = []
 
 
+def free_names(taken: list[str], *names: str) -> list[str]:
+    """The names, each with so many underscores added that no column is called so (letter case aside)."""
+    used, out = {c.lower() for c in taken}, []
+    for name in names:
+        while name.lower() in used:
+            name += "_"
+        used.add(name.lower())
+        out.append(name)
+    return out
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -19,10 +32,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor sees: ``spark.checkpoint.dir``.
 
-    Only where the session has none (tests, a laptop) a temporary folder is set.
+    A temporary folder is set only in a local session without that setting (tests, a laptop); on a cluster its lack is an error.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         path = tempfile.mkdtemp(prefix="plinth-")
         spark.conf.set("spark.checkpoint.dir", path)
     return path.rstrip("/")
@@ -39,12 +54,35 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(hadoop)
 
 
-def rename(spark: SparkSession, source: str, target: str) -> bool:
-    """Moves a folder; parents of the target are made."""
-    fs, hadoop = _filesystem(spark, source)
-    to = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(target)
-    fs.mkdirs(to.getParent())
-    return fs.rename(hadoop, to)
+def create_file(spark: SparkSession, path: str, content: str) -> bool:
+    """Makes a file that holds a JSON object; False if there is one. Never overwrites: the file system's exclusive creation decides between writers.
+
+    A local disk shows the file before it is filled, so ``read_file`` waits for the closing brace.
+    """
+    fs, hadoop = _filesystem(spark, path)
+    fs.mkdirs(hadoop.getParent())
+    try:
+        out = fs.create(hadoop, False)
+    except Exception as e:
+        if fs.exists(hadoop):
+            return False
+        raise e
+    out.write(bytearray(content.encode()))
+    out.close()
+    return True
+
+
+def read_file(spark: SparkSession, path: str, tries: int = 50) -> str:
+    """The content of a file that ``create_file`` made, a JSON object."""
+    fs, hadoop = _filesystem(spark, path)
+    for _ in range(tries):
+        source = fs.open(hadoop)
+        text = spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(source, "UTF-8")
+        source.close()
+        if text.endswith("}"):
+            return text
+        time.sleep(0.2)
+    raise RuntimeError(f"{path} is not complete")
 
 
 def children(spark: SparkSession, path: str) -> list[str]:
@@ -105,9 +143,11 @@ def connected_components(edges: DataFrame) -> DataFrame:
     few = pieces_for(edges.count(), 50_000, 4)  # tasks for what is left of a round: the links are few, the shuffle's partitions many
     cut = lambda df, tag: materialize(df.coalesce(few), tag)
     labels = cut(edges.select(F.explode(F.array("a", "b")).alias("node")).distinct().withColumn("label", F.col("node")), "labels")
-    for salt in range(200):
+    for salt in range(ROUNDS + 1):
         if edges.isEmpty():
             break
+        if salt == ROUNDS:
+            raise RuntimeError(f"{edges.count()} links are left after {ROUNDS} rounds of contraction")
 
         def priority(c, salt=salt):
             return F.struct(F.xxhash64(F.lit(salt), c).alias("p"), c.alias("n"))

@@ -11,16 +11,21 @@ texts of any length are sampled throughout, and the samples of two texts agree o
 A fingerprint is the length L and one byte per sample, in hexadecimal. ``likeness`` is the share of the longer
 text's samples at which both wrote the same byte.
 
-``banded_links`` finds near texts among fingerprints: bands of sampled bytes are bucket keys, bucket members are linked to the
-bucket's least id, and each link is verified by likeness.
+``classes`` links texts of a likeness of ``NEAR`` or more. Bits are sampled from the bytes: a band is a bucket key of some bits, and texts that share a
+band's bits meet in a bucket. For that both must read the same positions, so bands belong to a class of lengths (2^c to 2^(c+1) steps) and use positions below 2^c; a text
+also goes to the class below if a text of that class could be near it. In a bucket texts are compared by a sketch of 128 more sampled bits; what is left are candidates, of which
+a spanning forest makes candidate components. In a component all pairs are verified by likeness. Bands are as wide as the number of texts needs and so many that two texts
+at the least likeness share one with a probability of ``RECALL``; README has the measured recall.
 
 Defined cases: a null text is an empty text, with fingerprint ``0:``; two empty texts are alike (1.0), an empty and another
-are not (0.0). Rows of equal doc_id follow in the order of their texts; a null doc_id comes first.
+are not (0.0); a very long text is walked whole; rows of equal doc_id follow in the order of their texts; a null doc_id comes first and never names a class; equal texts are of one class; an empty table gives no
+rows; other columns, whatever they are called, are not read.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 from bisect import bisect_right
 from collections.abc import Iterator
 from functools import lru_cache
@@ -29,13 +34,20 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from plinth.llm.common import pieces_for
+from plinth.llm.common import connected_components, materialize, pieces_for
+from plinth.llm.simhash_dedup import _merge
+from plinth.llm.simhash_groups import _units, checked, spanning, verified_links
 
 SAMPLES = 128
 PERIOD = 4096
 SEED = 20240501
 BUCKET_ROWS = 2000
 MAX_BUCKETS = 1 << 15
+NEAR = 0.8
+RECALL = 0.95
+SKETCH_BITS = 128
+SKETCH_MOST = 28  # differing bits; about 13 at the least likeness, 57 of texts that have nothing to do with each other
+UNIT_ROWS = 4096
 
 
 @lru_cache(1)
@@ -62,7 +74,7 @@ def _points() -> np.ndarray:
     return np.concatenate(position)[np.argsort(np.concatenate(priority), kind="stable")]
 
 
-@lru_cache(4096)
+@lru_cache(1 << 16)
 def _positions(length: int) -> tuple[int, ...]:
     points = _points()
     return tuple(points[points < length][:SAMPLES].tolist())
@@ -202,25 +214,159 @@ def fingerprint_documents(docs: DataFrame, bucket_rows: int = BUCKET_ROWS) -> Da
     return dealt.mapInArrow(run, "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")
 
 
-def banded_links(prints: DataFrame, least: float = 0.8, bands: int = 16, rows: int = 4) -> DataFrame:
-    """Verified links (doc_id, with_id, likeness), with_id < doc_id, between documents of prints (doc_id, fingerprint).
+def plan(rows: int) -> tuple[int, int]:
+    """Bits of a band, and bands, for a number of distinct texts."""
+    bits = max(8, math.ceil(math.log2(max(rows, 2))) - 14)
+    same = 1 - (1 - NEAR) / 2  # of a bit at the least likeness
+    return bits, math.ceil(math.log(1 - RECALL) / math.log(1 - same**bits))
+
+
+def _longest(c: int) -> int:
+    """Texts up to so many steps go to the class c: those of the class, and those that a text of it can be near to."""
+    return int((2 << c) / NEAR) + 1
+
+
+@lru_cache(64)
+def _class(c: int, bits: int, bands: int) -> tuple[int, int, np.ndarray, np.ndarray]:
+    """The limit of positions, how many points below it all texts of the class have, and the sampled (point, bit) pairs of bands and sketch, as point * 8 + bit."""
+    limit = 1 << c
+    n = max(1, int((np.array(_positions(_longest(c))) < limit).sum()))
+    rng = np.random.default_rng(SEED + 2 + c)
+    pick = lambda k: rng.choice(n, k, replace=n < k) * 8 + rng.integers(0, 8, k)
+    return limit, n, np.stack([pick(bits) for _ in range(bands)]), pick(SKETCH_BITS)
+
+
+def band_rows(fps: np.ndarray, prints: list[str], bits: int, bands: int) -> tuple[np.ndarray, ...]:
+    """shard, fp, and the sketch as two numbers, of each band of each fingerprint."""
+    by: dict[int, tuple[list[int], list[np.ndarray]]] = {}
+    for i, text in enumerate(prints):
+        length, marks = _open(text)
+        if not length:
+            continue
+        marks, own = np.frombuffer(marks, np.uint8), length.bit_length() - 1
+        for c in (own, own - 1):
+            if c < 0 or length > _longest(c):
+                continue
+            limit, n, _, _ = _class(c, bits, bands)
+            at, rows = by.setdefault(c, ([], []))
+            at.append(i)
+            rows.append(marks if c == own and length == limit else marks[np.array(_positions(length)) < limit])
+            rows[-1] = rows[-1][:n]
+    out = [[np.zeros(0, np.int64)] for _ in range(4)]
+    for c, (at, rows) in by.items():
+        _, _, of_band, of_sketch = _class(c, bits, bands)
+        flat = np.unpackbits(np.stack(rows), axis=1)
+        sketch = np.ascontiguousarray(np.packbits(flat[:, of_sketch], axis=1)).view(np.int64)
+        for b in range(bands):
+            key = flat[:, of_band[b]].astype(np.int64) @ (1 << np.arange(bits, dtype=np.int64))
+            for held, column in zip(out, (((c * 256 + b) << 48) | key, fps[at], sketch[:, 0], sketch[:, 1]), strict=True):
+                held.append(column)
+    return tuple(np.concatenate(x) for x in out)
+
+
+def sketch_forest(unit: np.ndarray, side: np.ndarray, s1: np.ndarray, s2: np.ndarray) -> np.ndarray:
+    """Row pairs that span, in each unit, the components of rows whose sketches differ in SKETCH_MOST bits at most (rows sorted by unit; sides as in simhash_dedup.forest)."""
+    s1, s2 = s1.view(np.uint64), s2.view(np.uint64)
+    n = len(unit)
+    label, at, k, a, b, held = np.arange(n), np.arange(n), 0, [], [], 0
+    while len(at):
+        k += 1
+        at = at[at + k < n]
+        at = at[unit[at] == unit[at + k]]
+        to = at + k
+        hit = (np.bitwise_count(s1[at] ^ s1[to]).astype(np.int16) + np.bitwise_count(s2[at] ^ s2[to]) <= SKETCH_MOST) & ((side[at] == 0) | (side[at] != side[to]))
+        if hit.any():
+            a.append(at[hit])
+            b.append(to[hit])
+            held += len(a[-1])
+            if held > 500_000:
+                label = _merge(label, np.concatenate(a), np.concatenate(b))
+                a, b, held = [], [], 0
+    if held:
+        label = _merge(label, np.concatenate(a), np.concatenate(b))
+    child = np.flatnonzero(label != np.arange(n))
+    return np.stack([child, label[child]], axis=1)
+
+
+def alike_links(prints: list[np.ndarray], sub: np.ndarray, side: np.ndarray, least: float = NEAR) -> list[tuple[int, int]]:
+    """A spanning forest of the pairs of a likeness of least or more (as simhash_groups.similar_links). prints: length (big-endian) and marks, in 64-bit words."""
+    table = np.stack(prints)
+    length, marks = table[:, 0].byteswap().astype(np.int64), np.ascontiguousarray(table[:, 1:]).view(np.uint8)
+    near = np.zeros((len(prints), len(prints)), bool)
+    for i in range(len(prints)):
+        shorter = np.flatnonzero(length <= length[i])
+        reached = np.array(_positions(int(length[i])))[None, :] < length[shorter, None]
+        own = np.take_along_axis(marks[shorter], np.maximum(np.cumsum(reached, axis=1) - 1, 0), axis=1)
+        near[i, shorter] = ((own == marks[i]) & reached).sum(axis=1) >= least * SAMPLES
+    near |= near.T
+    return spanning(near & (sub[:, None] != sub) & ((side[:, None] == 0) | (side[:, None] != side)))
+
+
+def candidate_links(distinct: DataFrame, rows: int, unit_rows: int = UNIT_ROWS) -> DataFrame:
+    """a, b: links between fingerprints (fp long, fingerprint) that share a band and have like sketches, as spanning forests of the buckets."""
+    bits, bands = plan(rows)
+
+    def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            columns = band_rows(b.column(0).to_numpy(zero_copy_only=False), b.column(1).to_pylist(), bits, bands)
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["shard", "fp", "s1", "s2"])
+
+    routed = distinct.select("fp", "fingerprint").mapInArrow(route, "shard long, fp long, s1 long, s2 long")
+    large = materialize(routed.groupBy("shard").agg(F.count("*").alias("n")).where(F.col("n") > unit_rows), "large-buckets")
+    if large.isEmpty():
+        dealt = routed.select(F.col("shard").alias("unit"), F.lit(0).alias("side"), "fp", "s1", "s2")
+    else:
+        dealt = _units(routed, large, unit_rows, "left")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, ...]] = []
+
+        def flush(last: bool) -> Iterator[pa.RecordBatch]:
+            nonlocal held
+            rows = tuple(np.concatenate(x) for x in zip(*held, strict=True))
+            cut = len(rows[0]) if last else int(np.searchsorted(rows[0], rows[0][-1]))
+            held = [] if last else [tuple(x[cut:] for x in rows)]
+            if cut:
+                unit, side, fp, s1, s2 = (x[:cut] for x in rows)
+                pairs = sketch_forest(unit, side, s1, s2)
+                yield pa.RecordBatch.from_arrays([pa.array(fp[pairs[:, 0]]), pa.array(fp[pairs[:, 1]])], names=["a", "b"])
+
+        for b in batches:
+            if b.num_rows:
+                held.append(tuple(b.column(i).to_numpy(zero_copy_only=False) for i in range(5)))
+                if sum(len(h[0]) for h in held) > 50_000:
+                    yield from flush(False)
+        if held:
+            yield from flush(True)
+
+    units = dealt.repartition(pieces_for(rows * bands, 200_000, 8), "unit").sortWithinPartitions("unit")
+    return units.mapInArrow(compare, "a long, b long").where("a <> b").distinct()
+
+
+def classes(prints: DataFrame) -> DataFrame:
+    """fp, class_id: the least doc_id of the class of each fingerprint that another row or a near fingerprint shares.
 
-    Band b's key is ``rows`` sampled bytes; members of a bucket are compared with its least id, so a bucket of n gives
-    n - 1 candidates and no pair list. Equal fingerprints are merged first and get likeness 1.
+    prints: doc_id, fingerprint, materialised. fp is the 64-bit hash of a fingerprint; rows that aren't in a class of several are left out.
     """
-    distinct = prints.groupBy("fingerprint").agg(F.min("doc_id").alias("least_id"))
-    marks = F.substring_index("fingerprint", ":", -1)
-    keys = F.array(*[F.struct(F.lit(i).alias("band"), F.substring(marks, 2 * rows * i + 1, 2 * rows).alias("key")) for i in range(bands)])
-    banded = distinct.select("fingerprint", "least_id", F.explode(keys).alias("k")).where(F.length("k.key") == 2 * rows).select("fingerprint", "least_id", "k.band", "k.key")
-    heads = banded.groupBy("band", "key").agg(F.min(F.struct("least_id", "fingerprint")).alias("head"), F.count("*").alias("n")).where("n > 1").select("band", "key", F.col("head.least_id").alias("with_id"), F.col("head.fingerprint").alias("with_print"))
-    pairs = banded.join(heads, ["band", "key"]).where("with_id <> least_id").select("least_id", "fingerprint", "with_id", "with_print").distinct()
-
-    @F.pandas_udf("double")
-    def alike(a, b):
-        import pandas as pd
-
-        return pd.Series([likeness(x, y) for x, y in zip(a, b, strict=True)], dtype="float64")
-
-    verified = pairs.withColumn("likeness", alike("fingerprint", "with_print")).where(F.col("likeness") >= least)
-    copies = prints.join(distinct, "fingerprint").where("doc_id <> least_id").select("doc_id", F.col("least_id").alias("with_id"), F.lit(1.0).alias("likeness"))
-    return verified.select(F.greatest("least_id", "with_id").alias("doc_id"), F.least("least_id", "with_id").alias("with_id"), "likeness").unionByName(copies)
+    named = prints.select("doc_id", "fingerprint", F.xxhash64("fingerprint").alias("fp"), F.monotonically_increasing_id().alias("row"))
+    repeated = materialize(named.groupBy("fp").agg(F.count("*").alias("n"), F.min("row").alias("first"), F.min("doc_id").alias("least_id")).where("n > 1"), "repeated")
+    distinct = named.join(checked(repeated.select("fp", "first")), "fp", "left").where("first is null or first = row").select("fp", "fingerprint", "doc_id")
+    links = materialize(candidate_links(distinct, prints.count()), "near-links")
+    found = materialize(connected_components(links).select(F.col("node").alias("fp"), F.col("label").alias("component")), "near-nodes")
+    marks = F.unhex(F.rpad(F.substring_index("fingerprint", ":", -1), 2 * SAMPLES, "0"))
+    size = F.unhex(F.lpad(F.substring_index("fingerprint", ":", 1), 16, "0"))
+    packed = distinct.join(checked(found.select("fp")), "fp", "left_semi").select("fp", "doc_id", F.concat(size, marks).alias("hashes"))
+    packed = materialize(packed, "near-prints")
+    labels = connected_components(verified_links(found, packed.select("fp", "hashes"), NEAR, near=alike_links)).withColumnRenamed("node", "fp")
+    least = packed.select("fp", F.col("doc_id").alias("least_id")).join(labels, "fp").join(repeated.select("fp", F.col("least_id").alias("other_id")), "fp", "left").select("fp", "label", F.coalesce("other_id", "least_id").alias("least_id"))
+    of = least.groupBy("label").agg(F.min("least_id").alias("class_id"))
+    linked = materialize(least.join(of, "label").select("fp", "class_id"), "near-classes")
+    alone = repeated.join(linked.select("fp"), "fp", "left_anti").select("fp", F.col("least_id").alias("class_id"))
+    return linked.unionByName(alone)
+
+
+def with_classes(prints: DataFrame) -> DataFrame:
+    """prints (materialised, with doc_id and fingerprint) with class_id: the least doc_id of the row's class of equal and near fingerprints."""
+    of = materialize(classes(prints), "classes")
+    joined = prints.withColumn("__fp", F.xxhash64("fingerprint")).join(checked(of.withColumnRenamed("fp", "__fp")), "__fp", "left")
+    return joined.withColumn("class_id", F.coalesce("class_id", "doc_id")).drop("__fp")

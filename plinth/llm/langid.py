@@ -5,11 +5,15 @@ points are hashed into ``BUCKETS``. The log-probability matrix (buckets x langua
 broadcast; its size is bounded by BUCKETS * 4 bytes per language. Scoring gathers matrix rows in numpy and sums
 them by document, in slices, so that long texts need no more memory.
 
+The prior of a language is its share of the training documents (all of them, not of the sample). A text's log-likelihood is scaled down to that of ``EVIDENCE`` n-grams
+if it has more, as neighbouring n-grams aren't independent.
+
 Training samples each language's documents by the hash of doc_id, at a rate that gives ``SAMPLE_PER_LANGUAGE`` of them or all if
 there are fewer (a documented bound on labelled rows); every prediction uses the whole text.
 
-Defined cases: text null or without a letter: ``und`` with score 0; no training rows: everything is ``und``;
-repeated rows get equal results.
+Defined cases: text null or without a letter: ``und`` with score 0; no training rows: everything is ``und``; of languages of equal probability the first in order;
+a very long text counts whole; repeated rows get equal results; an empty table gives no rows; where a kept column is called as a new one the new one has underscores added; more than ``MAX_LANGUAGES`` values of
+lang are an error, since they would be no languages and the matrix would not be bounded.
 """
 
 from __future__ import annotations
@@ -21,9 +25,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from plinth.llm.common import free_names
+
 BUCKETS = 1 << 15
 SAMPLE_PER_LANGUAGE = 2000
 SMOOTHING = 0.5
+MAX_LANGUAGES = 512
 EVIDENCE = 100  # n-grams that a posterior counts as independent, at most
 _SLICE = 1 << 18
 _PAD = np.full(2, 32, np.uint32)
@@ -109,7 +116,11 @@ def train(docs: DataFrame, learn, per_language: int = SAMPLE_PER_LANGUAGE) -> Mo
     """Fits on the rows of docs (doc_id, text, lang) for which the column ``learn`` holds."""
     base = docs.where(learn & F.col("lang").isNotNull() & F.col("text").isNotNull())
     # No language is ever sorted or gathered as a whole. The rates are a row a language, as the columns of the matrix are.
-    rates = base.groupBy("lang").agg((F.lit(float(per_language)) / F.count("*")).alias("__rate"))
+    counts = base.groupBy("lang").agg(F.count("*").alias("n")).limit(MAX_LANGUAGES + 1).collect()
+    if len(counts) > MAX_LANGUAGES:
+        raise ValueError(f"over {MAX_LANGUAGES} values of lang")
+    documents = {r.lang: r.n for r in counts}
+    rates = docs.sparkSession.createDataFrame([(lang, per_language / n) for lang, n in documents.items()], "lang string, __rate double")
     u = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) / float(1 << 20)
     sample = base.select("doc_id", "lang", "text").join(F.broadcast(rates), "lang").where(u < F.col("__rate")).select("lang", "text")
 
@@ -140,18 +151,20 @@ def train(docs: DataFrame, learn, per_language: int = SAMPLE_PER_LANGUAGE) -> Mo
         where = {x: i for i, x in enumerate(languages)}
         table[rows.column("bucket").to_numpy(), np.array([where[x] for x in of.tolist()], np.int64)] = rows.column("n").to_numpy()
     table += SMOOTHING
-    return Model(languages, np.log(table / table.sum(axis=0)), np.zeros(len(languages)))
+    prior = np.array([documents[x] for x in languages], np.float64)
+    return Model(languages, np.log(table / table.sum(axis=0)), np.log(prior / max(sum(documents.values()), 1)))
 
 
 def identify(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
     """The columns ``keep`` of docs, lang_pred and score."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    base = docs.select(*keep, F.col("text").alias("__text"))
-    schema = ", ".join(f"`{c}` {t}" for c, t in base.dtypes[:-1]) + ", lang_pred string, score double"
+    base = docs.select(*[f"`{c}`" for c in keep], F.col("text").alias("__plinth_text"))
+    columns = [*keep, *free_names(keep, "lang_pred", "score")]
+    schema = ", ".join(f"`{c}` {t}" for c, t in zip(columns, [*(t for _, t in base.dtypes[:-1]), "string", "double"], strict=True))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             names, score = shared.value.predict(b.column(b.num_columns - 1).to_pylist())
-            yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(b.num_columns - 1)), pa.array(names, pa.string()), pa.array(score)], names=[*keep, "lang_pred", "score"])
+            yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(b.num_columns - 1)), pa.array(names, pa.string()), pa.array(score)], names=columns)
 
     return base.mapInArrow(run, schema)

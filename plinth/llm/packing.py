@@ -3,7 +3,8 @@
 Documents become pieces of at most ``SIZE`` tokens. Pieces are dealt to partitions and packed by best-fit decreasing. Each
 partition's number of bins is certified against a lower bound from dual-feasible functions: if they are equal, it is optimal.
 Partitions with a gap give up their emptiest bins (at most ``RELEASED`` pieces each; all other bins stay as they are), pool them with those of
-their neighbours and rerun best-fit decreasing; a pool is taken over only if it needs fewer bins. This is repeated with wider pools.
+their neighbours and rerun best-fit decreasing; a pool is taken over only if it needs fewer bins. This is repeated with wider pools, until one pool spans all partitions or
+none has a gap. ``certificate`` compares the whole packing with the bound for all pieces.
 
 Lower bound: for each t in 1 .. SIZE/2, the function that counts sizes over SIZE - t as 1, sizes under t as 0 and others as their
 share of SIZE is dual-feasible, so the sum over all pieces, rounded up, is a bound. A histogram of sizes gives all t at once.
@@ -11,14 +12,16 @@ share of SIZE is dual-feasible, so the sum over all pieces, rounded up, is a bou
 Scale: only (doc_id, piece, start, length, crc32) are moved, never texts or ids; partitions hold ``PARTITION_PIECES`` pieces and pools
 are bounded by POOL * RELEASED, whatever the input.
 
-Defined cases: a null or empty text is the single end token; repeated rows are packed each; documents longer than SIZE are cut
-with the short piece first; empty input: no rows.
+Defined cases: a null or empty text is the single end token; repeated rows are packed each; documents longer than SIZE, however long, are cut
+with the short piece first; of several bins that fit equally well the one opened or filled last is taken, and pieces of equal length are packed as they come; empty input: no rows; other columns of docs,
+whatever they are called, are not read.
 """
 
 from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from itertools import count
 
 import numpy as np
 import pandas as pd
@@ -27,22 +30,21 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from plinth.llm.common import materialize, pieces_for
-from plinth.llm.token_rollup import TOKENIZER_DIR, encoder
+from plinth.llm.token_rollup import TOKENIZER, encoder
 
 SIZE = 1024
 END = 2
 PARTITION_PIECES = 25_000
 RELEASED = 4096
 POOL = 4
-ROUNDS = 2
 _PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
-def pieces(docs: DataFrame, ranks: str = f"{TOKENIZER_DIR}/byte_bpe_50k.tiktoken", size: int = SIZE, end: int = END) -> DataFrame:
+def pieces(docs: DataFrame, tokenizer: str = TOKENIZER, size: int = SIZE, end: int = END) -> DataFrame:
     """The token pieces of each row: doc_id, piece, start, length, ids_crc32."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(ranks).encode_ordinary
+        encode = encoder(tokenizer)
         for b in batches:
             out = []
             for doc_id, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
@@ -125,7 +127,7 @@ def _repacker(r: int, names: list[str], size: int, released: int):
     return again
 
 
-def pack(found: DataFrame, size: int = SIZE, rounds: int = ROUNDS, partition_pieces: int = PARTITION_PIECES, released: int = RELEASED) -> DataFrame:
+def pack(found: DataFrame, size: int = SIZE, rounds: int | None = None, partition_pieces: int = PARTITION_PIECES, released: int = RELEASED) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, sequence_id, offset of each piece (materialised pieces)."""
     parts = pieces_for(found.count(), partition_pieces)
     columns = [c.split()[0] for c in _PIECE.split(", ")]
@@ -143,14 +145,19 @@ def pack(found: DataFrame, size: int = SIZE, rounds: int = ROUNDS, partition_pie
             yield from t.to_batches()
 
     done = materialize(found.select(*columns).repartition(parts).mapInArrow(first, schema), "packed-0")
-    for r in range(1, rounds + 1):
+    for r in count(1):
         pool = F.floor(F.col("part") / POOL).cast("long")
         rows = done.where("give")
-        if parts == 1 or rows.isEmpty():
+        if parts == 1 or rows.isEmpty() or (rounds is not None and r > rounds):
             break
-
         moved = rows.withColumn("part", pool).groupBy("part").applyInPandas(_repacker(r, names, size, released), schema)
         kept = done.where("not give").withColumn("part", pool)
         parts = pieces_for(parts, POOL)
         done = materialize(kept.select(*names).unionByName(moved), f"packed-{r}")
     return done.select(*columns, "sequence_id", "offset")
+
+
+def certificate(packed: DataFrame, size: int = SIZE) -> dict[str, int]:
+    """sequences, and bound: no packing of these pieces has fewer. From the histogram of lengths, at most ``size`` rows."""
+    lengths = np.repeat(*np.array([(r.length, r.n) for r in packed.groupBy("length").agg(F.count("*").alias("n")).collect()], np.int64).reshape(-1, 2).T)
+    return {"sequences": packed.select("sequence_id").distinct().count(), "bound": lower_bound(lengths, size)}

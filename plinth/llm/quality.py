@@ -12,8 +12,12 @@ Host and path default to the columns source and lang of documents.
 Scale: labels are joined once and reduced before the shuffle; the site tables join back by ordinary joins (a hot host is split by adaptive
 execution, the site side has one row per site).
 
-Defined cases: null host or path: ``unknown``; null and empty texts have all-zero features and a score of 0 or more like any other; no
-labels: quality 0.5 and all kept; repeated rows get equal results; several labels of one document count once (their least).
+A labelled document's own label is part of its site's posterior, as sites are judged by all that is known of them; the more labels a site has the less it weighs, and a site with one label
+is shrunk nearly to its parent.
+
+Defined cases: null host or path: ``unknown``; null and empty texts have all-zero features and a score like any other; a very long text counts whole; no
+labels: quality 0.5 and all kept; repeated rows get equal results; several labels of one document count once (their least); sites with equal counts have equal posteriors; an empty table gives no rows; other columns,
+whatever they are called, are not read.
 """
 
 from __future__ import annotations

@@ -16,7 +16,7 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pii.pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return pii.pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"), pii.session_key(spark))
 
 
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -31,7 +31,9 @@ def op4_maxscore(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_edit_embedding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return edit_embedding.fingerprint_documents(table(spark, sf_dir, "documents"))
+    """The columns agreed on, and class_id of equal and near texts."""
+    prints = common.materialize(edit_embedding.fingerprint_documents(table(spark, sf_dir, "documents")), "prints")
+    return edit_embedding.with_classes(prints)
 
 
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

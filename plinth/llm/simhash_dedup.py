@@ -3,22 +3,25 @@
 Fingerprints: 64 bits, a bit is 1 if it is set in over half of the XXH64 hashes (seed 42) of a text's
 word shingles. Two fingerprints within ``max_distance`` bits are linked; links make components.
 
-Search. The 64 bits are cut into blocks. Of ``max_distance + 1`` blocks, two linked fingerprints agree
-in at least one (with fewer blocks, they are within a radius on one, see ``block_radii``). Each block has
-a vantage-point tree of fixed pivots, whose children are the rings of equal distance to a pivot. By
-the triangle inequality a query of radius t needs the rings d - t .. d + t only: it is sent to every
-shard (leaf) that overlaps this band, and just to its own where t is 0. Within a shard, fingerprints are
-ordered by their full distance to one more pivot and compared only inside the band d .. d + max_distance.
+Search. The 64 bits are cut into blocks with radii, such that linked fingerprints are within the radius on one block at least (``block_radii``). By
+default there is a block less than ``max_distance + 1``, so one has radius 1 (from ``WIDE_ROWS`` on two less and two of radius 1): four blocks of 16 bits with radii
+1, 0, 0, 0. Each block has a vantage-point tree of fixed pivots, whose children are the rings of equal distance to a pivot. By
+the triangle inequality a fingerprint within t of another on the block is in one of the rings d - t .. d + t of each pivot, and, as each differing bit moves each
+distance by one, in a ring of the parity of d + t only. All other branches are pruned: a fingerprint is at home in one shard (leaf), and is sent as a visitor to those shards that its ball overlaps beyond the
+boundary, of these only to the ones numbered above its home, since the other way round the pair is found in the other's home. A tree of radius 1 has the more pivots the more rows there are, so shards stay bounded.
+Within a shard, fingerprints are ordered by their full distance to one more pivot and compared only inside the band d .. d + max_distance; visitors are not compared with each other.
 Equal fingerprints are merged first, so copies cost nothing, and a shard gives a spanning forest
 of its links, never all pairs. A shard over ``shard_rows`` is dealt out as pairs of chunks, so no
-task gets an unbounded group.
+task gets an unbounded group. The search is exact.
 
 Defined cases: a null text counts as empty; a text without words has fingerprint 0 and is linked like any
-other; repeated rows get equal results; a null doc_id is kept but never names a component.
+other; a very long text counts whole; repeated rows get equal results; ties are linked like any others, and of several ids the smallest names the component; a null doc_id is kept but never names a
+component; an empty table gives no rows; other columns, whatever they are called, are not read by ``components`` and stay as they are in ``representatives``.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from itertools import product
 
@@ -33,6 +36,7 @@ MAX_DISTANCE = 4
 SHINGLE_WORDS = 4
 SHARD_ROWS = 4096
 PIVOTS = 8
+WIDE_ROWS = 1 << 27
 _SLICE = 1 << 16
 
 
@@ -78,12 +82,13 @@ def block_radii(max_distance: int, blocks: int) -> list[int]:
 class BlockTree:
     """A static vantage-point tree over some of the bits."""
 
-    def __init__(self, bits: range, radius: int, seed: int, pivots: int = PIVOTS, width: int | None = None):
+    def __init__(self, bits: range, radius: int, seed: int, pivots: int = PIVOTS):
         self.mask = np.uint64(sum(1 << b for b in bits))
         rng = np.random.default_rng(seed)
         self.pivots = rng.integers(0, 1 << 63, pivots, np.uint64) * np.uint64(2) ^ rng.integers(0, 2, pivots, np.uint64)
-        self.radius = radius
-        self.width = width or max(1, 4 * radius)
+        self.most = len(bits)
+        #: How the rings of a fingerprint within the radius can differ; each bit moves each ring by one.
+        self.steps = sorted({o for t in range(1, radius + 1) for o in product(range(-t, t + 1, 2), repeat=pivots)} - {(0,) * pivots})
 
     def _rings(self, fps: np.ndarray) -> np.ndarray:
         own = fps & self.mask
@@ -95,27 +100,28 @@ class BlockTree:
             leaf = leaf * 65 + rings[:, k]
         return leaf
 
-    def shards(self, fps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Row numbers and leaves: of each fingerprint its home, and the leaves its ball overlaps."""
+    def shards(self, fps: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Row numbers, leaves, and whether the row is a visitor: of each fingerprint its home, and the leaves above it that its ball overlaps."""
         d = self._rings(fps)
-        if not self.radius:
-            return np.arange(len(fps)), self._leaf(d)
-        low, high = np.maximum(d - self.radius, 0) // self.width, (d + self.radius) // self.width
-        rows, leaves = [], []
-        span = int((high - low).max(initial=0)) + 1
-        for step in product(range(span), repeat=d.shape[1]):
-            ring = low + np.array(step)
-            inside = (ring <= high).all(axis=1)
-            rows.append(np.flatnonzero(inside))
-            leaves.append(self._leaf(ring[inside]))
-        return np.concatenate(rows), np.concatenate(leaves)
-
-
-def trees_for(max_distance: int = MAX_DISTANCE, blocks: int | None = None) -> list[BlockTree]:
-    blocks = blocks or max_distance + 1
+        home = self._leaf(d)
+        rows, leaves = [np.arange(len(fps))], [home]
+        for step in self.steps:
+            ring = d + np.array(step)
+            leaf = self._leaf(ring)
+            at = np.flatnonzero(((ring >= 0) & (ring <= self.most)).all(axis=1) & (leaf > home))
+            rows.append(at)
+            leaves.append(leaf[at])
+        return np.concatenate(rows), np.concatenate(leaves), np.arange(sum(map(len, rows))) >= len(fps)
+
+
+def trees_for(max_distance: int = MAX_DISTANCE, blocks: int | None = None, rows: int = 1, shard_rows: int = SHARD_ROWS) -> list[BlockTree]:
+    """The trees of a search among so many fingerprints."""
+    blocks = blocks or max(1, max_distance + 1 - (1 if rows < WIDE_ROWS else 2))
     cuts = np.linspace(0, 64, blocks + 1).round().astype(int)
     radii = block_radii(max_distance, blocks)
-    return [BlockTree(range(cuts[i], cuts[i + 1]), radii[i], 1000 + i, PIVOTS if not radii[i] else 4) for i in range(blocks)]
+    # two random fingerprints share a ring of a pivot with a probability of 1 / sqrt(pi * bits)
+    depth = min(PIVOTS, max(4, math.ceil(2 * math.log(max(1.0, rows / shard_rows)) / math.log(math.pi * 64 / blocks))))
+    return [BlockTree(range(cuts[i], cuts[i + 1]), radii[i], 1000 + i, PIVOTS if not radii[i] else depth if radii[i] == 1 else 4) for i in range(blocks)]
 
 
 def _merge(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -130,23 +136,26 @@ def _merge(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return label
 
 
-def forest(leaf: np.ndarray, side: np.ndarray, fps: np.ndarray, max_distance: int) -> np.ndarray:
-    """Links (as row pairs n x 2) that span the components within each leaf.
+def forest(leaf: np.ndarray, side: np.ndarray, visitor: np.ndarray, fps: np.ndarray, max_distance: int) -> tuple[np.ndarray, int]:
+    """Links (as row pairs n x 2) that span the components within each leaf, and the number of comparisons.
 
-    side: rows with sides 1 and 2 are compared across only, rows with side 0 with each other.
+    side: rows with sides 1 and 2 are compared across only, rows with side 0 with each other. Two visitors are not compared.
     """
     pivot = np.uint64(0x9E3779B97F4A7C15)
     d = np.bitwise_count(fps ^ pivot).astype(np.int64)
-    order = np.lexsort((d, leaf))
-    leaf, side, fps, d = leaf[order], side[order], fps[order], d[order]
-    n = len(fps)
-    label, at, k, held_a, held_b, held = np.arange(n), np.arange(n), 0, [], [], 0
+    order = np.lexsort((d, leaf, visitor))  # residents first, by leaf and distance
+    side, visitor, fps = side[order], visitor[order], fps[order]
+    place = leaf[order].astype(np.int64) * 128 + d[order]
+    n, homes = len(fps), int((~visitor).sum())
+    # each row meets the residents of its leaf inside the band; a resident only those behind itself
+    low = np.where(visitor, np.searchsorted(place[:homes], place - np.minimum(d[order], max_distance)), np.arange(n) + 1)
+    high = np.searchsorted(place[:homes], place + max_distance, "right")
+    label, at, k, held_a, held_b, held, compared = np.arange(n), np.arange(n), 0, [], [], 0, 0
     while len(at):
+        at = at[low[at] + k < high[at]]
+        to = low[at] + k
         k += 1
-        at = at[at + k < n]
-        to = at + k
-        within = (leaf[at] == leaf[to]) & (d[to] - d[at] <= max_distance)  # sorted, so what is out stays out
-        at, to = at[within], to[within]
+        compared += len(at)
         hit = np.bitwise_count(fps[at] ^ fps[to]) <= max_distance
         hit &= (side[at] == 0) | (side[at] != side[to])
         if hit.any():
@@ -159,28 +168,29 @@ def forest(leaf: np.ndarray, side: np.ndarray, fps: np.ndarray, max_distance: in
     if held:
         label = _merge(label, np.concatenate(held_a), np.concatenate(held_b))
     child = np.flatnonzero(label != np.arange(n))
-    return np.stack([order[child], order[label[child]]], axis=1)
+    return np.stack([order[child], order[label[child]]], axis=1), compared
 
 
 def links(fps: DataFrame, max_distance: int = MAX_DISTANCE, blocks: int | None = None, shard_rows: int = SHARD_ROWS, rows: int | None = None) -> DataFrame:
     """Edges (a, b) of a forest that spans the components of distinct fingerprints ``fps`` (fp long)."""
-    trees = trees_for(max_distance, blocks)
+    rows = fps.count() if rows is None else rows
+    trees = trees_for(max_distance, blocks, rows)
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             own = b.column(0).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
             for t, tree in enumerate(trees):
-                row, leaf = tree.shards(own)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(row), t, np.int32)), pa.array(leaf), pa.array(own[row].view(np.int64))], names=["tree", "leaf", "fp"])
+                row, leaf, visitor = tree.shards(own)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(row), t, np.int32)), pa.array(leaf), pa.array(visitor), pa.array(own[row].view(np.int64))], names=["tree", "leaf", "visitor", "fp"])
 
-    routed = fps.select("fp").mapInArrow(route, "tree int, leaf long, fp long")
+    routed = fps.select("fp").mapInArrow(route, "tree int, leaf long, visitor boolean, fp long")
     sizes = materialize(routed.groupBy("tree", "leaf").agg(F.count("*").alias("n")).where(F.col("n") > shard_rows), "large-shards")
     if sizes.isEmpty():
-        dealt = routed.select("tree", "leaf", F.lit(0).alias("i"), F.lit(0).alias("j"), F.lit(0).alias("side"), "fp")
+        dealt = routed.select("tree", "leaf", F.lit(0).alias("i"), F.lit(0).alias("j"), F.lit(0).alias("side"), "visitor", "fp")
     else:  # a shard over the limit becomes pairs of chunks (i <= j), each its own unit of work
         chunks = F.coalesce(F.ceil(F.col("n") / shard_rows).cast("int"), F.lit(1))
         dealt = routed.join(sizes, ["tree", "leaf"], "left").withColumn("chunk", F.pmod(F.xxhash64("fp"), chunks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), chunks - 1)))
-        dealt = dealt.select("tree", "leaf", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"), F.when(F.col("chunk") == F.col("other"), 0).when(F.col("chunk") < F.col("other"), 1).otherwise(2).alias("side"), "fp")
+        dealt = dealt.select("tree", "leaf", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"), F.when(F.col("chunk") == F.col("other"), 0).when(F.col("chunk") < F.col("other"), 1).otherwise(2).alias("side"), "visitor", "fp")
     unit = F.xxhash64("tree", "leaf", "i", "j").alias("unit")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -188,29 +198,26 @@ def links(fps: DataFrame, max_distance: int = MAX_DISTANCE, blocks: int | None =
 
         def flush(last: bool) -> Iterator[pa.RecordBatch]:
             nonlocal kept
-            key, side, own = (np.concatenate(x) for x in zip(*kept, strict=True))
+            key, side, visitor, own = (np.concatenate(x) for x in zip(*kept, strict=True))
             cut = len(key) if last else int(np.searchsorted(key, key[-1]))
-            kept = [] if last else [(key[cut:], side[cut:], own[cut:])]
+            kept = [] if last else [(key[cut:], side[cut:], visitor[cut:], own[cut:])]
             if cut:
                 _, small = np.unique(key[:cut], return_inverse=True)
                 own = own[:cut].view(np.uint64)
-                pairs = forest(small, side[:cut], own, max_distance)
+                pairs, _ = forest(small, side[:cut], visitor[:cut], own, max_distance)
                 yield pa.RecordBatch.from_arrays([pa.array(own[pairs[:, i]].view(np.int64)) for i in (0, 1)], names=["a", "b"])
 
         for b in batches:
             if b.num_rows:
-                kept.append(tuple(b.column(i).to_numpy(zero_copy_only=False) for i in range(3)))
+                kept.append(tuple(b.column(i).to_numpy(zero_copy_only=False) for i in range(4)))
                 if sum(len(x[0]) for x in kept) > 50_000:
                     yield from flush(False)
         if kept:
             yield from flush(True)
 
-    dealt = dealt.select(unit, "side", "fp")
-    if rows is not None:
-        dealt = dealt.repartition(pieces_for(rows * len(trees), 200_000, 8), "unit")
-    else:
-        dealt = dealt.repartition("unit")
-    return dealt.sortWithinPartitions("unit").mapInArrow(compare, "a long, b long")
+    copies = len(trees) + sum(len(t.steps) // 2 for t in trees)
+    units = dealt.select(unit, "side", "visitor", "fp").repartition(pieces_for(rows * copies, 400_000, 8), "unit")
+    return units.sortWithinPartitions("unit").mapInArrow(compare, "a long, b long")
 
 
 def components(docs: DataFrame, max_distance: int = MAX_DISTANCE, words: int = SHINGLE_WORDS, blocks: int | None = None, shard_rows: int = SHARD_ROWS) -> DataFrame:

@@ -112,7 +112,7 @@ def shingle_sets(docs: DataFrame, nodes: DataFrame, width: int, words: int = WOR
     ids = materialize(nodes.select("least_id").distinct(), "wide-ids")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(checked(ids), F.col("doc_id").eqNullSafe(F.col("least_id")), "left_semi")
     found = texts.select("text").mapInArrow(run, "fp binary, hashes binary")
-    return found.join(checked(nodes.select("fp")), "fp", "left_semi").groupBy("fp").agg(F.first("hashes").alias("hashes"))
+    return found.join(checked(nodes.select("fp")), "fp", "left_semi").groupBy("fp").agg(F.min("hashes").alias("hashes"))
 
 
 def similar_links(sets: list[np.ndarray], sub: np.ndarray, side: np.ndarray, similarity: float = SIMILARITY) -> list[tuple[int, int]]:
@@ -136,9 +136,13 @@ def similar_links(sets: list[np.ndarray], sub: np.ndarray, side: np.ndarray, sim
         slab[who[b:e], column[b:e] - lo] = 1
         shared += slab @ slab.T
     union = sizes[:, None] + sizes - shared.astype(np.int64)
-    near = open_ & (np.where(union > 0, shared / np.maximum(union, 1), 1.0) >= similarity)
-    unseen, out = np.ones(n, bool), []
-    for start in range(n):
+    return spanning(open_ & (np.where(union > 0, shared / np.maximum(union, 1), 1.0) >= similarity))
+
+
+def spanning(near: np.ndarray) -> list[tuple[int, int]]:
+    """A spanning forest of a graph, given as a symmetric matrix."""
+    unseen, out = np.ones(len(near), bool), []
+    for start in range(len(near)):
         if not unseen[start]:
             continue
         unseen[start], reached = False, [start]
@@ -151,8 +155,9 @@ def similar_links(sets: list[np.ndarray], sub: np.ndarray, side: np.ndarray, sim
     return out
 
 
-def set_links(dealt: DataFrame, rows: int, similarity: float = SIMILARITY) -> DataFrame:
-    """a, b (binary): similar_links of each unit of dealt (unit long, side int, fp, sub binary, hashes)."""
+def set_links(dealt: DataFrame, rows: int, similarity: float = SIMILARITY, near=similar_links) -> DataFrame:
+    """a, b: the links ``near`` finds (as similar_links does) in each unit of dealt (unit long, side int, fp, sub of its type, hashes)."""
+    kind, arrow = dict(dealt.dtypes)["fp"], pa.int64() if dict(dealt.dtypes)["fp"] == "bigint" else pa.binary()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
@@ -161,8 +166,8 @@ def set_links(dealt: DataFrame, rows: int, similarity: float = SIMILARITY) -> Da
             links = []
             if len(held) > 1:
                 _, sub = np.unique(np.array([h[3] for h in held], object), return_inverse=True)
-                links = similar_links([np.frombuffer(h[4], np.uint64) for h in held], sub, np.array([h[1] for h in held]), similarity)
-            return pa.RecordBatch.from_arrays([pa.array([held[i][2] for i, _ in links], pa.binary()), pa.array([held[j][2] for _, j in links], pa.binary())], names=["a", "b"])
+                links = near([np.frombuffer(h[4], np.uint64) for h in held], sub, np.array([h[1] for h in held]), similarity)
+            return pa.RecordBatch.from_arrays([pa.array([held[i][2] for i, _ in links], arrow), pa.array([held[j][2] for _, j in links], arrow)], names=["a", "b"])
 
         for b in batches:
             for row in zip(*(b.column(i).to_pylist() for i in range(5)), strict=True):
@@ -174,7 +179,7 @@ def set_links(dealt: DataFrame, rows: int, similarity: float = SIMILARITY) -> Da
             yield solve()
 
     units = dealt.select("unit", "side", "fp", "sub", "hashes").repartition(pieces_for(rows, 5_000, 8), "unit").sortWithinPartitions("unit")
-    return units.mapInArrow(run, "a binary, b binary").where("a <> b").distinct()
+    return units.mapInArrow(run, f"a {kind}, b {kind}").where("a <> b").distinct()
 
 
 def few_links(few: DataFrame, rows: int, similarity: float = SIMILARITY) -> DataFrame:
@@ -208,8 +213,8 @@ def _units(routed: DataFrame, counts: DataFrame, size: int, how: str) -> DataFra
     return dealt.select(unit, side, *[c for c in routed.columns if c != "shard"])
 
 
-def verified_links(candidates: DataFrame, sets: DataFrame, similarity: float = SIMILARITY, unit: int = UNIT) -> DataFrame:
-    """a, b (binary): links whose groups are the single-linkage groups of each component of candidates (fp, component).
+def verified_links(candidates: DataFrame, sets: DataFrame, similarity: float = SIMILARITY, unit: int = UNIT, near=similar_links) -> DataFrame:
+    """a, b: links whose groups are the single-linkage groups of each component of candidates (fp, component).
 
     All pairs of a component are decided by their whole shingle sets (fp, hashes). A component of up to ``unit`` texts is one unit. A larger one is
     first dealt into units three times, each time otherwise; then all texts outside its main group so far meet all its texts, in pairs of chunks.
@@ -221,13 +226,13 @@ def verified_links(candidates: DataFrame, sets: DataFrame, similarity: float = S
         chunk = F.pmod(F.xxhash64(F.lit(salt), "fp"), F.ceil(F.col("n") / unit))
         return of.select(F.xxhash64("component", chunk).alias("unit"), F.lit(0).alias("side"), "fp", F.col("fp").alias("sub")).join(sets, "fp")
 
-    out = materialize(set_links(dealt_once(candidates.join(sizes, "component"), 0), number, similarity), "wide-verified")
+    out = materialize(set_links(dealt_once(candidates.join(sizes, "component"), 0), number, similarity, near), "wide-verified")
     large = sizes.where(F.col("n") > unit)
     if large.isEmpty():
         return out
     of = materialize(candidates.join(large, "component"), "wide-large")
     for salt in (1, 2):
-        out = out.unionByName(materialize(set_links(dealt_once(of, salt), number, similarity), "wide-verified"))
+        out = out.unionByName(materialize(set_links(dealt_once(of, salt), number, similarity, near), "wide-verified"))
     sub = connected_components(out).select(F.col("node").alias("fp"), F.col("label").alias("sub"))
     of = materialize(of.join(sub, "fp", "left").withColumn("sub", F.coalesce("sub", "fp")), "wide-subs")
     by_sub = of.groupBy("component", "sub").agg(F.count("*").alias("k"), F.first("n").alias("n"))
@@ -241,7 +246,7 @@ def verified_links(candidates: DataFrame, sets: DataFrame, similarity: float = S
     left = of.where(F.col("sub") != F.col("main")).withColumn("r", at("rows")).withColumn("e", every("ends")).withColumn("side", F.lit(1))
     right = of.withColumn("e", at("ends")).withColumn("r", every("rows")).withColumn("side", F.lit(2)).select(left.columns)
     both = left.unionByName(right).select(F.xxhash64("component", "r", "e").alias("unit"), "side", "fp", "sub")
-    return out.unionByName(materialize(set_links(both.join(sets, "fp"), both.count(), similarity), "wide-verified"))
+    return out.unionByName(materialize(set_links(both.join(sets, "fp"), both.count(), similarity, near), "wide-verified"))
 
 
 def sketch_similarity(a: bytes, b: bytes, k: int = SKETCH) -> float:
@@ -328,7 +333,7 @@ def candidate_links(fps: DataFrame, rows: int, bits: int, blocks: int, most: int
             values = _block_values(_matrix(own, width), bits, blocks)
             column = pa.array(own, pa.binary())
             for t, tree in enumerate(trees):
-                _, leaf = tree.shards(values[:, t])
+                _, leaf, _ = tree.shards(values[:, t])
                 yield pa.RecordBatch.from_arrays([pa.array(xx(leaf, t)), column], names=["shard", "fp"])
 
     routed = fps.select("fp").mapInArrow(route, "shard long, fp binary")

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings, strategies as st
 
-from plinth.llm import edit_embedding as E, queries
+from plinth.llm import common, edit_embedding as E, queries
 
 
 def slow_print(text):
@@ -70,13 +70,63 @@ def test_few_rows(spark):
     assert r.near_next == 1.0 and r.edited_sha256 == hashlib.sha256(b"abab").hexdigest()
 
 
-def test_links(spark):
+def brute_classes(rows):
+    """doc_id -> least doc_id of its component of pairs at NEAR or more, and those pairs."""
+    label, pairs = {d: d for d, _ in rows}, []
+    opened = [(d, f, *E._open(f)) for d, f in rows]
+    for i, (a, f, n, _) in enumerate(opened):
+        for b, g, m, _ in opened[:i]:
+            if f == g or (min(n, m) >= 0.7 * max(n, m) and E.likeness(f, g) >= E.NEAR):
+                pairs.append((a, b))
+    changed = True
+    while changed:
+        changed = False
+        for a, b in pairs:
+            least = min(label[a], label[b])
+            changed |= label[a] != least or label[b] != least
+            label[a] = label[b] = least
+    return label, pairs
+
+
+def edited(rng, text, edits):
+    t = list(text)
+    for at in rng.integers(0, len(t), edits):
+        t[at] = ("", "#", t[at] + "x")[int(rng.integers(3))]
+    return "".join(t)
+
+
+def test_classes(spark):
+    """Chains, copies, near copies of many lengths, and a group larger than a unit: recall against all pairs, and no false member."""
     rng = np.random.default_rng(4)
-    base = ["".join(rng.choice(list("abcdefgh ijk"), 800)) for _ in range(5)]
-    rows = [(i, t) for i, t in enumerate(base)] + [(10 + i, t) for i, t in enumerate(base)] + [(20, base[0][:400] + "#" + base[0][400:])]
-    prints = spark.createDataFrame([(d, E.fingerprint(t)) for d, t in rows], "doc_id long, fingerprint string")
-    got = {(r.doc_id, r.with_id) for r in E.banded_links(prints).collect()}
-    assert got >= {(10 + i, i) for i in range(5)} | {(20, 0)} and all(a % 10 == b or (a, b) == (20, 0) for a, b in got)
+    rows, group = [], "".join(rng.choice(list("abcdefgh ijk"), 900))
+    for i in range(120):
+        text = "".join(rng.choice(list("abcdefgh ijk"), int(rng.integers(5, 3000))))
+        rows += [(10 * i, text), (10 * i + 1, edited(rng, text, max(1, len(text) // 120))), (10 * i + 2, text)]
+    rows += [(5000 + i, edited(rng, group, 4)) for i in range(330)] + [(9000, None), (9001, ""), (None, rows[0][1]), (None, rows[0][1]), (None, "alone")]
+    df = spark.createDataFrame([(d, E.fingerprint(t), "x") for d, t in rows], "doc_id long, fingerprint string, class_id_ string")
+    got = E.with_classes(common.materialize(df, "prints"))
+    assert got.columns == [*df.columns, "class_id"]
+    by = {r.doc_id: r.class_id for r in got.collect() if r.doc_id is not None}
+    want, pairs = brute_classes([(d, E.fingerprint(t)) for d, t in rows if d is not None])
+    found = sum(by[a] == by[b] for a, b in pairs)
+    assert len(pairs) > 10_000 and found / len(pairs) >= 0.98
+    loose = [(a, b) for a, b in pairs if a < 5000]
+    assert sum(by[a] == by[b] for a, b in loose) / len(loose) >= 0.95
+    assert all(want[d] == want[c] for d, c in by.items())  # whatever shares a class is linked in truth
+    nulls = [r.class_id for r in got.where("doc_id is null").collect()]
+    assert sorted(map(repr, nulls)) == ["0", "0", "None"]
+
+
+def test_classes_of_the_drivers_documents(spark):
+    got = {r.doc_id: r for r in queries.op5_edit_embedding(spark, "/root/testdata/sf0.01").collect()}
+    want, pairs = brute_classes([(d, r.fingerprint) for d, r in got.items()])
+    assert len(pairs) > 20 and sum(got[a].class_id == got[b].class_id for a, b in pairs) / len(pairs) >= 0.9
+    assert all(want[d] == want[r.class_id] for d, r in got.items())
+
+
+def test_no_classes(spark):
+    none = spark.createDataFrame([], "doc_id long, fingerprint string")
+    assert E.with_classes(common.materialize(none, "prints")).count() == 0
 
 
 def test_query(spark, sf_dir):

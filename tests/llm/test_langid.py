@@ -1,6 +1,9 @@
+import math
 import zlib
+from collections import Counter
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from plinth.llm import langid as L, queries
@@ -22,6 +25,61 @@ def test_scores_match_a_plain_bayes(spark):
     assert names == ["en", "fr", ["en", "fr"][int(np.argmax(plain("xxx")))], "en", "fr"] and ((score > 0) & (score <= 1)).all()
 
 
+def plain_bucket(gram):
+    """The hash of an n-gram of code points, number by number."""
+    w = 0xFFFFFFFF
+    a, b, c = ([0, 0, 0] + gram)[-3:]
+    h = c * 0x9E3779B1 & w
+    if len(gram) > 1:
+        h = (h ^ h >> 15) + b * 0x85EBCA77 & w
+    if len(gram) > 2:
+        h = h + a * 0xC2B2AE3D & w
+    if len(gram) > 1:
+        h = h * (0x85EBCA77, 0xC2B2AE3D)[len(gram) - 2] & w
+    return ((h ^ h >> 13) * 0x27D4EB2F & w) >> 17 & L.BUCKETS - 1
+
+
+def plain_grams(text):
+    fold = lambda c: 32 if not c.isalpha() else ord(c.lower()) if len(c.lower()) == 1 else ord(c)
+    codes = [32, 32, *map(fold, text), 32]
+    for i in range(2, len(codes)):
+        if codes[i] != 32 or codes[i - 1] != 32:
+            for n in (1, 2, 3):
+                yield plain_bucket(codes[i - n + 1 : i + 1])
+
+
+def test_against_brute_force(spark):
+    """Counts, priors and posteriors by dictionaries, on whole texts."""
+    docs = [r for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
+    learn = [d for d in docs if d.lang is not None and d.text is not None and zlib.crc32(str(d.doc_id).encode()) % 4 != 2]
+    langs = sorted({d.lang for d in learn})
+    counts = {x: Counter() for x in langs}
+    for d in learn:
+        counts[d.lang].update(plain_grams(d.text))
+    total = {x: sum(counts[x].values()) + L.SMOOTHING * L.BUCKETS for x in langs}
+    prior = {x: math.log(sum(d.lang == x for d in learn) / len(learn)) for x in langs}
+    got = {r.doc_id: r for r in queries.op10_langid(spark, "/root/testdata/sf0.001").collect()}
+    for d in docs:
+        letters = sum(c.isalpha() for c in d.text)
+        if not letters:
+            assert (got[d.doc_id].lang_pred, got[d.doc_id].score) == ("und", 0.0)
+            continue
+        grams = Counter(plain_grams(d.text))
+        z = {x: sum(n * math.log((counts[x][g] + L.SMOOTHING) / total[x]) for g, n in grams.items()) * min(letters, L.EVIDENCE) / (3 * letters) + prior[x] for x in langs}
+        best = max(langs, key=z.get)
+        assert got[d.doc_id].score == pytest.approx(1 / sum(math.exp(v - z[best]) for v in z.values()), abs=1e-3)
+        assert got[d.doc_id].lang_pred == best or abs(z[best] - z[got[d.doc_id].lang_pred]) < 1e-3
+
+
+def test_clashes_and_too_many_languages(spark):
+    docs = spark.createDataFrame([(i, f"text number {i}", f"l{i}", "x") for i in range(600)], "doc_id long, text string, lang string, score string")
+    with pytest.raises(ValueError, match="values of lang"):
+        L.train(docs, F.lit(True))
+    m = L.train(docs.where("doc_id < 2"), F.lit(True))
+    out = L.identify(docs, m, ["doc_id", "score"])
+    assert out.columns == ["doc_id", "score", "lang_pred", "score_"] and {r.score for r in out.collect()} == {"x"}
+
+
 def test_edges(spark):
     docs = spark.createDataFrame([(1, "hello there", "en", "x"), (2, "hallo welt", "de", "x"), (3, None, "de", "x"), (None, "guten tag", None, "x")], "doc_id long, text string, lang string, score string")
     m = L.train(docs, F.lit(True))

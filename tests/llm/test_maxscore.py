@@ -27,11 +27,24 @@ def test_merging_and_blocks(spark):
     rng = np.random.default_rng(3)
     x = rng.integers(-3, 4, (400, 8))
     df = spark.createDataFrame([(i, [int(v) for v in x[i]]) for i in range(400)], "id long, v array<long>")
-    got = M.top_k(df, df.where("id % 10 = 0"), 10, shard_rows=37, block_rows=7).collect()
+    got = M.top_k(df, df.where("id % 10 = 0"), 10, shard_rows=37).collect()
     want = brute(np.arange(400), x, np.arange(0, 400, 10), x[::10], 10)
     assert {tuple(r) for r in got} == want and len(got) == len(want)
 
 
+def test_numbers_beyond_floats_and_repeated_rows(spark):
+    big = 1_500_000_001
+    rows = [(i, [big + i, -big + 2 * i, i]) for i in range(40)] + [(7, [big + 7, -big + 14, 7])] * 30 + [(50, [1] * 9)]
+    df = spark.createDataFrame(rows, "id long, v array<long>")
+    q = [(10 * i, rows[10 * i][1]) for i in range(4)]
+    want = set()
+    for i, v in q:
+        scored = sorted((-sum(a * b for a, b in zip(v, x, strict=False)), d) for d, x in rows if d != i)[:10]
+        want |= {(i, r + 1, d, -s) for r, (s, d) in enumerate(scored)}
+    got = M.top_k(df, spark.createDataFrame(q, "id long, v array<long>"), 10, shard_rows=9).collect()
+    assert {tuple(r) for r in got} == want and len(got) == 40
+
+
 def test_odd_rows(spark):
     rows = [(0, [1.0, 0.5]), (1, None), (None, [1.0, 1.0]), (2, [float("nan"), 1.0]), (3, [None, 1.0]), (4, [float("inf"), 1.0]), (100, [0.25]), (100, [0.25]), (7, []), (8, [-0.0001, 0.0])]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")

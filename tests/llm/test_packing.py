@@ -72,6 +72,26 @@ def test_query_against_tokenizers(spark, sf_dir):
     assert got.sequence_id.nunique() <= K.lower_bound(got.length.to_numpy()) * 1.01 + 1
 
 
+def test_added_tokens_are_those_of_tokenizers(spark):
+    from public_tokenizers import path
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(path("byte_bpe_50k.json"))
+    texts = ["a<|endoftext|>b", "<|endoftext|><|endoftext|> x", "<|endoftext", "end <|endoftext|>", "plain\u2003wide  spaces \n\n 123 ñ 漢字 🙂"]
+    got = K.pieces(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    for r in got:
+        ids = [*t.encode(texts[r.doc_id], add_special_tokens=False).ids, 2]
+        assert (r.length, r.ids_crc32) == (len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
+
+
+def test_pools_widen_until_one_is_left(spark):
+    rng = np.random.default_rng(2)
+    rows = [(int(i), 0, 0, int(n), 0) for i, n in enumerate(rng.integers(150, 700, 3400))]
+    found = common.materialize(spark.createDataFrame(rows, K._PIECE), "pieces")
+    two, all_ = (K.certificate(common.materialize(K.pack(found, rounds=r, partition_pieces=100), "packed")) for r in (2, None))
+    assert all_["bound"] == two["bound"] <= all_["sequences"] <= two["sequences"]
+
+
 def test_odd_documents(spark):
     df = spark.createDataFrame([(None, None, 1), (1, "", 1), (1, "", 1), (2, "word " * 30_000, 1)], "doc_id long, text string, offset int")
     got = K.pack(common.materialize(K.pieces(df), "pieces")).toPandas()

@@ -3,7 +3,7 @@ import xxhash
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from plinth.llm import simhash_dedup as S
+from plinth.llm import queries, simhash_dedup as S
 
 WORDS = "alpha beta gamma delta epsilon zeta eta theta iota kappa".split()
 
@@ -77,6 +77,35 @@ def test_near_prints_are_found_with_any_blocks(spark):
             assert group[a] == group[b], blocks
 
 
+def test_default_trees_have_a_radius_and_visit_other_shards():
+    for rows, radii in ((1, 1), (10_000_000, 1), (1 << 28, 2)):
+        trees = S.trees_for(rows=rows)
+        assert sum(bool(t.steps) for t in trees) == radii
+        assert len(next(t for t in trees if t.steps).pivots) >= 4
+    rng = np.random.default_rng(7)
+    fps = rng.integers(0, 1 << 63, 2000, np.uint64)
+    tree = S.trees_for()[0]
+    rows, leaves, visitor = tree.shards(fps)
+    assert visitor.sum() > 2000 and (~visitor).sum() == 2000
+    home = dict(zip(rows[~visitor].tolist(), leaves[~visitor].tolist(), strict=True))
+    at = set(zip(rows[visitor].tolist(), leaves[visitor].tolist(), strict=True))
+    near = fps ^ (np.uint64(1) << rng.integers(0, 16, 2000).astype(np.uint64))  # one bit of the first block
+    _, other, is_visitor = tree.shards(near)
+    for i, (h, (a, b)) in enumerate(zip(home.values(), zip(fps, near, strict=True), strict=True)):
+        assert h != other[i] and ((i, other[i]) in at or (h in other[np.flatnonzero(is_visitor)].tolist()))
+    order = np.lexsort((np.arange(len(leaves)), leaves))
+    _, leaf = np.unique(leaves, return_inverse=True)
+    _, compared = S.forest(leaf[order], np.zeros(len(leaf), int), visitor[order], fps[rows][order], 4)
+    assert compared < 0.05 * 2000 * 1999 / 2  # pruned by rings and the pivot inside a shard
+
+
+def test_query_against_brute_force(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").collect()
+    prints = [(d.doc_id, brute_print(d.text)) for d in docs]
+    want = sorted((d, f"{f:016x}", c) for (d, f), c in zip(prints, brute_components(prints), strict=True))
+    assert sorted(tuple(r) for r in queries.op3_simhash(spark, sf_dir).collect()) == want
+
+
 def test_radii():
     for d in range(9):
         for m in range(1, d + 2):

@@ -23,6 +23,36 @@ def test_batches(spark, tmp_path):
     assert got() == want and r.committed() == ["b1", "b2", "b3"]
 
 
+def test_commit_during_a_compaction_counts_once(spark, tmp_path, monkeypatch):
+    r, other = R.Rollup(spark, str(tmp_path / "r")), R.Rollup(spark, str(tmp_path / "r"))
+    batch = lambda i: spark.createDataFrame([(i, "insert", "a", "en", "v1", 10, None)], KEYS)
+    r.commit("b1", batch(1))
+    before = r.totals()
+    plain = r._sum
+    monkeypatch.setattr(r, "_sum", lambda folders: other.commit("b2", batch(2)) and plain(folders))
+    assert r.compact()
+    monkeypatch.undo()
+    assert [(x.documents, x.tokens) for x in r.totals().collect()] == [(2, 20)]
+    assert [(x.documents, x.tokens) for x in before.collect()] == [(1, 10)]  # what was asked for before can still be read
+    assert r.committed() == ["b1", "b2"] and not r.commit("b1", batch(1)) and not r.commit("b2", batch(2))
+    assert r.compact()
+    r.vacuum()
+    assert [(x.documents, x.tokens) for x in r.totals().collect()] == [(2, 20)]
+
+
+def test_two_writers_of_one_batch(spark, tmp_path, monkeypatch):
+    """Both see that the batch isn't there; one manifest is made. Two compactions of one base likewise."""
+    r, other = R.Rollup(spark, str(tmp_path / "r")), R.Rollup(spark, str(tmp_path / "r"))
+    batch = spark.createDataFrame([(1, "insert", "a", "en", "v1", 10, None)], KEYS)
+    won = []
+    plain = r._write
+    monkeypatch.setattr(r, "_write", lambda df: won.append(other.commit("b1", batch)) or plain(df))
+    assert not r.commit("b1", batch) and won == [True]
+    monkeypatch.setattr(r, "_write", lambda df: won.append(other.compact()) or plain(df))
+    assert not r.compact() and won == [True, True]
+    assert [(x.documents, x.tokens) for x in r.totals().collect()] == [(1, 10)]
+
+
 def test_lost_writer_leaves_nothing(spark, tmp_path):
     r = R.Rollup(spark, str(tmp_path / "r"))
     bad = spark.createDataFrame([(1, "merge", "a", "en", "v1", 1, None)], KEYS)

@@ -1,3 +1,5 @@
+import math
+
 import numpy as np
 import pytest
 
@@ -43,6 +45,18 @@ def test_edges(spark):
     assert T.severity(odd.limit(0), m, ["doc_id"]).count() == 0
 
 
+def test_clashing_columns_and_grades(spark):
+    docs, labels = tables(spark)
+    m = T.train(docs, labels)
+    out = T.severity(docs.withColumn("rejected", docs.lang), m, ["severity", "rejected", "doc_id"])
+    assert out.columns == ["severity", "rejected", "doc_id", "severity_", "rejected_"] and {r.severity for r in out.collect()} == {"x"}
+    low, high = T.threshold_report(docs, labels)
+    assert low > 0.97 and high > 0.8
+    _, row, col, value, half, toxic = T._sampled(docs, labels, 1000)
+    grade = T.grades_of(row, col, value, half, toxic, col.max() + 1)
+    assert ((grade > 0) == (toxic == 1)).all() and 0.2 < (grade[toxic == 1] == 2).mean() < 0.6
+
+
 def test_gradient_of_the_ordinal_fit():
     rng = np.random.default_rng(3)
     x = rng.normal(size=(400, 3))
@@ -53,7 +67,29 @@ def test_gradient_of_the_ordinal_fit():
     assert w == pytest.approx([2, -1, 0], abs=0.5) and theta == pytest.approx([-0.5, 1.5], abs=0.5)
 
 
-def test_query(spark, sf_dir):
-    got = queries.op1_toxicity(spark, sf_dir)
+def plain_severity(text, weights, thresholds):
+    """Word by word, beginning by beginning, without gates or counters."""
+    found, word = {}, ""
+    for c in (text or "").lower() + " ":
+        if c.isalpha():
+            word += c
+            continue
+        for f in [word, *(word[:n] + "*" for n in (4, 5, 6, 7) if n < len(word))] if word else []:
+            found[f] = found.get(f, 0) + 1
+        word = ""
+    z = sum(weights[f] * (1 + math.log(n)) for f, n in found.items() if f in weights)
+    return sum(1 / (1 + math.exp(t - z)) for t in thresholds)
+
+
+def test_query(spark):
+    sf = "/root/testdata/sf0.01"
+    got = queries.op1_toxicity(spark, sf)
     assert got.columns == ["doc_id", "severity", "rejected"]
-    assert got.count() == spark.read.parquet(f"{sf_dir}/documents.parquet").count()
+    docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
+    m = T.train(docs, labels)
+    assert m.weights
+    want = {r.doc_id: plain_severity(r.text, m.weights, m.thresholds) for r in docs.collect()}
+    rows = got.collect()
+    assert len(rows) == len(want) and all(r.severity == pytest.approx(want[r.doc_id], abs=1e-6) and r.rejected == (r.severity >= T.REJECT_AT) for r in rows)
+    known = {r.doc_id: r.toxic for r in labels.collect()}
+    assert np.mean([r.rejected == (known[r.doc_id] == 1) for r in rows if r.doc_id in known]) > 0.95
