@@ -2,11 +2,15 @@
 
 Every stage takes (spark, docs, sf_dir) and returns a DataFrame; it is written as Parquet and read again as the docs of the next.
 All but the last return the columns of documents.
+
+Defined cases: a null or empty text is not toxic, has no personal data, is a copy of all other texts without words, counts no tokens, and is packed as one end token; very long texts are used whole in every stage; of
+near-duplicates, and of repeated rows, the one of the smallest doc_id stays, once; rows without doc_id are never taken for copies; an empty table gives no rows; further columns stay up to packing, whatever they are
+called.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from plinth.llm import common, mixing, packing, pii, simhash_groups, toxicity
 
@@ -26,10 +30,8 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 2. n_chars is that of the new text."""
-    from pyspark.sql import functions as F
-
-    done = pii.pseudonymise(docs, counts=False)
+    """Operator 2, with the session's key. n_chars is that of the new text."""
+    done = pii.pseudonymise(docs, pii.session_key(spark), counts=False)
     kind = dict(docs.dtypes).get("n_chars")
     return done if kind is None else done.withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.length("text")).cast(kind))
 
