@@ -13,8 +13,8 @@ text's samples at which both wrote the same byte.
 
 ``classes`` links texts of a likeness of ``NEAR`` or more. Bits are sampled from the bytes: a band is a bucket key of some bits, and texts that share a
 band's bits meet in a bucket. For that both must read the same positions, so bands belong to a class of lengths (2^c to 2^(c+1) steps) and use positions below 2^c; a text
-also goes to the class below if a text of that class could be near it. In a bucket texts are compared by a sketch of 128 more sampled bits; what is left are candidates, of which
-a spanning forest makes candidate components. In a component all pairs are verified by likeness. Bands are as wide as the number of texts needs and so many that two texts
+also goes to the class below if a text of that class could be near it. In a bucket texts are compared by a sketch of 128 more sampled bits. Those that have a candidate there are then verified:
+all pairs of them in the bucket, by likeness. Bands are as wide as the number of texts needs and so many that two texts
 at the least likeness share one with a probability of ``RECALL``; README has the measured recall.
 
 Defined cases: a null text is an empty text, with fingerprint ``0:``; two empty texts are alike (1.0), an empty and another
@@ -35,8 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from plinth.llm.common import connected_components, materialize, pieces_for
-from plinth.llm.simhash_dedup import _merge
-from plinth.llm.simhash_groups import _units, checked, spanning, verified_links
+from plinth.llm.simhash_groups import _units, checked, set_links, spanning
 
 SAMPLES = 128
 PERIOD = 4096
@@ -48,6 +47,7 @@ RECALL = 0.95
 SKETCH_BITS = 128
 SKETCH_MOST = 28  # differing bits; about 13 at the least likeness, 57 of texts that have nothing to do with each other
 UNIT_ROWS = 4096
+VERIFY_ROWS = 256
 
 
 @lru_cache(1)
@@ -216,7 +216,7 @@ def fingerprint_documents(docs: DataFrame, bucket_rows: int = BUCKET_ROWS) -> Da
 
 def plan(rows: int) -> tuple[int, int]:
     """Bits of a band, and bands, for a number of distinct texts."""
-    bits = max(8, math.ceil(math.log2(max(rows, 2))) - 14)
+    bits = max(8, math.ceil(math.log2(max(rows, 2))) - 9)
     same = 1 - (1 - NEAR) / 2  # of a bit at the least likeness
     return bits, math.ceil(math.log(1 - RECALL) / math.log(1 - same**bits))
 
@@ -230,9 +230,12 @@ def _longest(c: int) -> int:
 def _class(c: int, bits: int, bands: int) -> tuple[int, int, np.ndarray, np.ndarray]:
     """The limit of positions, how many points below it all texts of the class have, and the sampled (point, bit) pairs of bands and sketch, as point * 8 + bit."""
     limit = 1 << c
-    n = max(1, int((np.array(_positions(_longest(c))) < limit).sum()))
+    below = np.array(_positions(_longest(c)))
+    below = below[below < limit]
+    n = max(1, len(below))
+    own = np.unique(below, return_index=True)[1] if len(below) else np.zeros(1, np.int64)  # points of different positions
     rng = np.random.default_rng(SEED + 2 + c)
-    pick = lambda k: rng.choice(n, k, replace=n < k) * 8 + rng.integers(0, 8, k)
+    pick = lambda k: rng.choice(own, k, replace=len(own) < k) * 8 + rng.integers(0, 8, k)
     return limit, n, np.stack([pick(bits) for _ in range(bands)]), pick(SKETCH_BITS)
 
 
@@ -264,28 +267,19 @@ def band_rows(fps: np.ndarray, prints: list[str], bits: int, bands: int) -> tupl
     return tuple(np.concatenate(x) for x in out)
 
 
-def sketch_forest(unit: np.ndarray, side: np.ndarray, s1: np.ndarray, s2: np.ndarray) -> np.ndarray:
-    """Row pairs that span, in each unit, the components of rows whose sketches differ in SKETCH_MOST bits at most (rows sorted by unit; sides as in simhash_dedup.forest)."""
+def have_partners(unit: np.ndarray, side: np.ndarray, s1: np.ndarray, s2: np.ndarray) -> np.ndarray:
+    """Which rows have another in their unit whose sketch differs in SKETCH_MOST bits at most (rows sorted by unit; sides as in simhash_dedup.forest)."""
     s1, s2 = s1.view(np.uint64), s2.view(np.uint64)
-    n = len(unit)
-    label, at, k, a, b, held = np.arange(n), np.arange(n), 0, [], [], 0
+    n, out, at, k = len(unit), np.zeros(len(unit), bool), np.arange(len(unit)), 0
     while len(at):
         k += 1
         at = at[at + k < n]
         at = at[unit[at] == unit[at + k]]
         to = at + k
         hit = (np.bitwise_count(s1[at] ^ s1[to]).astype(np.int16) + np.bitwise_count(s2[at] ^ s2[to]) <= SKETCH_MOST) & ((side[at] == 0) | (side[at] != side[to]))
-        if hit.any():
-            a.append(at[hit])
-            b.append(to[hit])
-            held += len(a[-1])
-            if held > 500_000:
-                label = _merge(label, np.concatenate(a), np.concatenate(b))
-                a, b, held = [], [], 0
-    if held:
-        label = _merge(label, np.concatenate(a), np.concatenate(b))
-    child = np.flatnonzero(label != np.arange(n))
-    return np.stack([child, label[child]], axis=1)
+        out[at[hit]] = True
+        out[to[hit]] = True
+    return out
 
 
 def alike_links(prints: list[np.ndarray], sub: np.ndarray, side: np.ndarray, least: float = NEAR) -> list[tuple[int, int]]:
@@ -302,8 +296,8 @@ def alike_links(prints: list[np.ndarray], sub: np.ndarray, side: np.ndarray, lea
     return spanning(near & (sub[:, None] != sub) & ((side[:, None] == 0) | (side[:, None] != side)))
 
 
-def candidate_links(distinct: DataFrame, rows: int, unit_rows: int = UNIT_ROWS) -> DataFrame:
-    """a, b: links between fingerprints (fp long, fingerprint) that share a band and have like sketches, as spanning forests of the buckets."""
+def candidates(distinct: DataFrame, rows: int, unit_rows: int = UNIT_ROWS) -> DataFrame:
+    """shard, fp: the fingerprints (fp long, fingerprint) of each bucket that have another with a like sketch there."""
     bits, bands = plan(rows)
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -314,9 +308,9 @@ def candidate_links(distinct: DataFrame, rows: int, unit_rows: int = UNIT_ROWS)
     routed = distinct.select("fp", "fingerprint").mapInArrow(route, "shard long, fp long, s1 long, s2 long")
     large = materialize(routed.groupBy("shard").agg(F.count("*").alias("n")).where(F.col("n") > unit_rows), "large-buckets")
     if large.isEmpty():
-        dealt = routed.select(F.col("shard").alias("unit"), F.lit(0).alias("side"), "fp", "s1", "s2")
+        dealt = routed.select(F.col("shard").alias("unit"), F.lit(0).alias("side"), "shard", "fp", "s1", "s2")
     else:
-        dealt = _units(routed, large, unit_rows, "left")
+        dealt = _units(routed.withColumn("bucket", F.col("shard")), large, unit_rows, "left").select("unit", "side", F.col("bucket").alias("shard"), "fp", "s1", "s2")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, ...]] = []
@@ -327,20 +321,20 @@ def candidate_links(distinct: DataFrame, rows: int, unit_rows: int = UNIT_ROWS)
             cut = len(rows[0]) if last else int(np.searchsorted(rows[0], rows[0][-1]))
             held = [] if last else [tuple(x[cut:] for x in rows)]
             if cut:
-                unit, side, fp, s1, s2 = (x[:cut] for x in rows)
-                pairs = sketch_forest(unit, side, s1, s2)
-                yield pa.RecordBatch.from_arrays([pa.array(fp[pairs[:, 0]]), pa.array(fp[pairs[:, 1]])], names=["a", "b"])
+                unit, side, shard, fp, s1, s2 = (x[:cut] for x in rows)
+                found = have_partners(unit, side, s1, s2)
+                yield pa.RecordBatch.from_arrays([pa.array(shard[found]), pa.array(fp[found])], names=["shard", "fp"])
 
         for b in batches:
             if b.num_rows:
-                held.append(tuple(b.column(i).to_numpy(zero_copy_only=False) for i in range(5)))
+                held.append(tuple(b.column(i).to_numpy(zero_copy_only=False) for i in range(6)))
                 if sum(len(h[0]) for h in held) > 50_000:
                     yield from flush(False)
         if held:
             yield from flush(True)
 
     units = dealt.repartition(pieces_for(rows * bands, 200_000, 8), "unit").sortWithinPartitions("unit")
-    return units.mapInArrow(compare, "a long, b long").where("a <> b").distinct()
+    return units.mapInArrow(compare, "shard long, fp long").distinct()
 
 
 def classes(prints: DataFrame) -> DataFrame:
@@ -351,13 +345,16 @@ def classes(prints: DataFrame) -> DataFrame:
     named = prints.select("doc_id", "fingerprint", F.xxhash64("fingerprint").alias("fp"), F.monotonically_increasing_id().alias("row"))
     repeated = materialize(named.groupBy("fp").agg(F.count("*").alias("n"), F.min("row").alias("first"), F.min("doc_id").alias("least_id")).where("n > 1"), "repeated")
     distinct = named.join(checked(repeated.select("fp", "first")), "fp", "left").where("first is null or first = row").select("fp", "fingerprint", "doc_id")
-    links = materialize(candidate_links(distinct, prints.count()), "near-links")
-    found = materialize(connected_components(links).select(F.col("node").alias("fp"), F.col("label").alias("component")), "near-nodes")
+    found = materialize(candidates(distinct, prints.count()), "near-candidates")
     marks = F.unhex(F.rpad(F.substring_index("fingerprint", ":", -1), 2 * SAMPLES, "0"))
     size = F.unhex(F.lpad(F.substring_index("fingerprint", ":", 1), 16, "0"))
-    packed = distinct.join(checked(found.select("fp")), "fp", "left_semi").select("fp", "doc_id", F.concat(size, marks).alias("hashes"))
+    asked = materialize(found.select("fp").distinct(), "near-ids")
+    packed = distinct.join(checked(asked), "fp", "left_semi").select("fp", "doc_id", F.concat(size, marks).alias("hashes"))
     packed = materialize(packed, "near-prints")
-    labels = connected_components(verified_links(found, packed.select("fp", "hashes"), NEAR, near=alike_links)).withColumnRenamed("node", "fp")
+    counts = materialize(found.groupBy("shard").agg(F.count("*").alias("n")).where("n > 1"), "near-buckets")
+    units = _units(found, counts, VERIFY_ROWS, "inner").withColumn("sub", F.col("fp")).join(packed.select("fp", "hashes"), "fp")
+    links = materialize(set_links(units, found.count(), NEAR, alike_links), "near-links")
+    labels = connected_components(links).withColumnRenamed("node", "fp")
     least = packed.select("fp", F.col("doc_id").alias("least_id")).join(labels, "fp").join(repeated.select("fp", F.col("least_id").alias("other_id")), "fp", "left").select("fp", "label", F.coalesce("other_id", "least_id").alias("least_id"))
     of = least.groupBy("label").agg(F.min("least_id").alias("class_id"))
     linked = materialize(least.join(of, "label").select("fp", "class_id"), "near-classes")
