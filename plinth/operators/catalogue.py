@@ -89,8 +89,8 @@ def first_by_canon(catalogue: DataFrame) -> DataFrame:
 
 
 def sheet_maps(catalogue: DataFrame) -> DataFrame:
-    """sheet_key, title (last), other_id (of the last item named "Other"), labels (set of canonical labels, sorted), first_ord."""
-    other = F.max(F.when(F.col("canon") == "other", F.struct("ord", "id")))
+    """sheet_key, title (last), other_id (of the last item named "Other" that has an id), labels (set of canonical labels, sorted), first_ord."""
+    other = F.max(F.when((F.col("canon") == "other") & (F.col("id") != ""), F.struct("ord", "id")))
     return catalogue.groupBy("sheet_key").agg(F.max(F.struct("ord", "sheet_title"))["sheet_title"].alias("title"), other["id"].alias("other_id"), F.array_sort(F.collect_set("canon")).alias("labels"), F.min("ord").alias("first_ord"))
 
 

@@ -85,9 +85,9 @@ def image_index(spark, sf_dir):
     return P.number_images(r).select(F.col("report_id").cast("long").alias("report_id"), "ord", "image_index", "image_file")
 
 
-_NEAR_SQL = r"""
+NEAR_SQL = r"""
 u AS (SELECT report_id, ord, min(x0) AS x0, min(y0) AS y0, max(x1) AS x1, max(y1) AS y1, min(l_partkey) AS l_partkey FROM rects GROUP BY report_id, ord),
-b AS (SELECT r.report_id, r.ord AS block_no, x0 + 250 AS bx0, y0 + (ord - 3) * 40 AS by0, x0 + 450 AS bx1, y0 + (ord - 3) * 40 + 60 AS by1, p_name || chr(10) || 'Page 3 of ' || p_size::VARCHAR || chr(10) || repeat(p_type || ' ', 3) AS text FROM u r JOIN part ON l_partkey = p_partkey),
+b AS (SELECT r.report_id, r.ord AS block_no, x0 + 250 AS bx0, y0 + (ord - 3) * 40 AS by0, x0 + 450 AS bx1, y0 + (ord - 3) * 40 + 60 AS by1, CASE WHEN p_partkey % 3 = 0 THEN 'Photograph 1.' || (p_partkey % 9)::VARCHAR || ' Observation: ' ELSE '' END || p_name || chr(10) || 'Page 3 of ' || p_size::VARCHAR || chr(10) || repeat(p_type || ' ', 3) AS text FROM u r JOIN part ON l_partkey = p_partkey),
 n AS (SELECT i.report_id, i.ord, i.x0, i.y0, i.x1, i.y1, least(594.0, greatest(i.x1 + 14, 18.0)) AS gx, greatest(18.0, i.y0 - 60) AS a_top, least(774.0, i.y1 + 60) AS a_bottom, b.* EXCLUDE (report_id), (i.y0 + i.y1) / 2 AS mid FROM u i LEFT JOIN b ON i.report_id = b.report_id),
 c AS (SELECT *, by1 > 36 AND by0 < 792 - 36 AS counts, greatest(0, least(bx1, 594) - greatest(bx0, gx)) AS wide, greatest(0, least(bx1, 594) - greatest(bx0, 306)) AS half, greatest(0, least(by1, 774) - greatest(by0, 18)) AS tall, greatest(0, least(by1, a_bottom) - greatest(by0, a_top)) AS near, (bx1 - bx0) * (by1 - by0) AS size FROM n),
 f AS (SELECT *, counts AND wide * near / size > 0.25 AS in_a, counts AND wide * tall / size > 0.25 AS in_b, counts AND half * tall / size > 0.25 AND (abs((by0 + by1) / 2 - mid) <= 180 OR (by0 <= y1 + 180 AND by1 >= y0 - 180)) AS in_c FROM c),
@@ -101,7 +101,7 @@ k AS (SELECT *, array_to_string(list_filter(string_split(wa, chr(10)), lambda x:
 s AS (SELECT *, CASE WHEN length(a) >= 80 THEN 'primary' WHEN length(b) >= 80 THEN 'expanded-vertical' WHEN length(c) >= 40 THEN 'proximity-right-half' ELSE 'none' END AS strategy FROM k)"""
 
 
-@query(f"""WITH {RECTS_SQL}, {_NEAR_SQL}
+@query(f"""WITH {RECTS_SQL}, {NEAR_SQL}
 SELECT report_id, ord, strategy, CASE strategy WHEN 'primary' THEN a WHEN 'expanded-vertical' THEN b WHEN 'proximity-right-half' THEN c ELSE '' END AS right_text,
 CASE strategy WHEN 'primary' THEN a <> wa WHEN 'expanded-vertical' THEN b <> wb WHEN 'proximity-right-half' THEN c <> wc ELSE false END AS footer_dropped,
 CASE strategy WHEN 'proximity-right-half' THEN 306.0 ELSE gx END AS region_x0, CASE WHEN strategy IN ('primary', 'none') THEN a_top ELSE 18.0 END AS region_y0, CASE WHEN strategy IN ('primary', 'none') THEN a_bottom ELSE 774.0 END AS region_y1 FROM s""")
@@ -114,7 +114,8 @@ def right_text_cascade(spark, sf_dir):
 def images_and_blocks(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
     """Each order is a page; its lines (those of one number together) are images with a text block of the line's part beside them."""
     r = rects(spark, sf_dir).groupBy("report_id", "page", "ord").agg(G.union_of(F.col("r")).alias("r"), F.min("l_partkey").alias("l_partkey")).withColumn("pg", page_rect())
-    text = F.concat(F.col("p_name"), F.lit("\nPage 3 of "), F.col("p_size").cast("string"), F.lit("\n"), F.repeat(F.concat("p_type", F.lit(" ")), F.lit(3)))
+    before = F.when(F.col("p_partkey") % 3 == 0, F.concat(F.lit("Photograph 1."), (F.col("p_partkey") % 9).cast("string"), F.lit(" Observation: "))).otherwise("")
+    text = F.concat(before, F.col("p_name"), F.lit("\nPage 3 of "), F.col("p_size").cast("string"), F.lit("\n"), F.repeat(F.concat("p_type", F.lit(" ")), F.lit(3)))
     p = table(spark, sf_dir, "part").select("p_partkey", text.alias("text"))
     y = F.col("r.y0") + (F.col("ord") - 3) * 40
     blocks = r.join(p, F.col("l_partkey") == F.col("p_partkey")).select("report_id", "page", F.col("ord").alias("block_no"), G.rect(F.col("r.x0") + 250, y, F.col("r.x0") + 450, y + 60).alias("r"), "text")

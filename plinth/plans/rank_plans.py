@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from plinth.functions import similarity as S, text as T
-from plinth.operators import cascade as K, catalogue as C, ranking as R, reports
-from plinth.plans import sqlgen as Q
+from plinth.operators import cascade as K, catalogue as C, ranking as R, records, reports
+from plinth.plans import cascade_sql as X, page_plans as PP, sqlgen as Q
 from plinth.plans.registry import query, spread, table
 from plinth.plans.text_plans import PART_TEXT_SQL, part_text
 
@@ -170,8 +170,8 @@ def _ce_texts(spark, sf_dir) -> DataFrame:
 
 @query(f"WITH {_CE_SQL} SELECT p_partkey, ord, rank, round(score, 4) AS score FROM rk WHERE rank <= 3")
 def cause_effect_topk(spark, sf_dir):
-    index = type_items(spark, sf_dir).select("ord", T.weighted_pair(F.col("label_terms"), F.lit("")).alias("text"))
-    ranked = R.char_gram_cosine(_ce_texts(spark, sf_dir).select("q", T.weighted_pair(F.col("observation"), F.col("cause")).alias("text")), index)
+    index = R.weighted_parts(type_items(spark, sf_dir), "ord", F.col("label_terms"), F.lit(""))
+    ranked = R.char_gram_cosine(R.weighted_parts(_ce_texts(spark, sf_dir), "q", F.col("observation"), F.col("cause")), index)
     return ranked.select(F.col("q").alias("p_partkey"), "ord", "rank", F.round("score", 4).alias("score"))
 
 
@@ -229,10 +229,71 @@ def semantic_confidence(spark, sf_dir):
     return best.select(F.col("q").alias("vec_id"), "ord", F.round("confidence", 4).alias("confidence"), (F.col("confidence") >= 0.45).alias("accepted"))
 
 
-@query(None)
+#: Infos hold numbers to three digits, whose last two depend on how a library rounds; queries show one.
+_MASKED_SQL = "CASE WHEN label_method LIKE 'cause%' OR label_method_info LIKE 'obs=%' THEN regexp_replace(label_method_info, '[0-9]{2}(;|$)', '..\\1', 'g') ELSE label_method_info END AS label_method_info"
+
+
+def masked_info():
+    numbers = F.col("label_method").startswith("cause") | F.col("label_method_info").startswith("obs=")
+    return F.when(numbers, F.regexp_replace("label_method_info", r"[0-9]{2}(;|$)", "..$1")).otherwise(F.col("label_method_info")).alias("label_method_info")
+
+
+_PANEL_RAW, _PANEL_OBSERVATION = X.panel("CASE WHEN doc_id % 3 = 0 THEN 'Photograph 2.' || (doc_id % 9)::VARCHAR || ' Observation: ' WHEN doc_id % 3 = 1 AND doc_id % 8 = 1 THEN 'Observations - see. Location: roof. ' ELSE '' END || text || '. Recommendation: see ' || source")
+_PANELS_SQL = f"""{X.ITEMS},
+pr AS (SELECT doc_id AS q, {_PANEL_RAW} AS panel_raw, CASE WHEN doc_id % 5 > 0 THEN (doc_id % 9)::VARCHAR || '.0' END AS section, CASE WHEN doc_id % 10 = 0 THEN (doc_id % 7 + 1)::VARCHAR || '.4 Section' ELSE text END AS page_text FROM documents),
+pn AS (SELECT *, {_PANEL_OBSERVATION} AS observation FROM pr)"""
+
+
+@query(f"""WITH {_PANELS_SQL}, {X.cascade('pn')}
+SELECT q AS doc_id, label_method, {_MASKED_SQL}, observation_id, label, round(confidence_label, 3) AS confidence_label, flag_review, flag_reason, CASE WHEN confidence_label > 0.5 THEN 'high' ELSE 'low' END AS bucket FROM casc""")
 def label_cascade(spark, sf_dir):
-    text = F.concat(F.when(F.col("p_partkey") % 2 == 0, "Observation: ").otherwise(""), part_text(), F.lit(". Recommendation: see "), "p_brand")
-    panels = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("q"), T.panel(text).alias("p"), F.concat((F.col("p_size") % 7 + 1).cast("string"), F.lit(".0")).alias("section"))
-    items = type_items(spark, sf_dir)
-    found = K.label(panels.select("q", "p.observation_raw", "p.label_source", "p.panel_raw", "section"), items, C.sheet_maps(items))
-    return found.select(F.col("q").alias("p_partkey"), "label_method", "ord", "observation_id", "label", F.round("confidence_label", 3).alias("confidence_label"), "flag_review", reports.bucket(F.col("confidence_label")).alias("bucket"))
+    """Documents as right-hand texts, some with an observation field, against the benchmark's passages. Numbers in infos are compared to one digit."""
+    d = spread(table(spark, sf_dir, "documents"))
+    number = (F.col("doc_id") % 9).cast("string")
+    before = F.when(F.col("doc_id") % 3 == 0, F.concat(F.lit("Photograph 2."), number, F.lit(" Observation: "))).when((F.col("doc_id") % 3 == 1) & (F.col("doc_id") % 8 == 1), F.lit("Observations - see. Location: roof. ")).otherwise("")
+    text = F.concat(before, F.col("text"), F.lit(". Recommendation: see "), F.col("source"))
+    page = F.when(F.col("doc_id") % 10 == 0, F.concat((F.col("doc_id") % 7 + 1).cast("string"), F.lit(".4 Section"))).otherwise(F.col("text"))
+    panels = d.select(F.col("doc_id").alias("q"), T.panel(text).alias("p"), F.when(F.col("doc_id") % 5 > 0, F.concat(number, F.lit(".0"))).alias("section"), page.alias("page_text"))
+    items = benchmark_items(spark, sf_dir)
+    found = K.label(panels.select("q", "p.observation_raw", "p.label_source", "p.panel_raw", "section", "page_text"), items, C.sheet_maps(items))
+    return found.select(F.col("q").alias("doc_id"), "label_method", masked_info(), "observation_id", "label", F.round("confidence_label", 3).alias("confidence_label"), "flag_review", "flag_reason", reports.bucket(F.col("confidence_label")).alias("bucket"))
+
+
+def name_items(spark, sf_dir) -> DataFrame:
+    """Distinct part names as a catalogue."""
+    names = table(spark, sf_dir, "part").groupBy("p_name").agg(F.min("p_partkey").alias("ord"))
+    return C.items(names.select("ord", F.concat(F.lit("N"), (F.col("ord") % 97).cast("string")).alias("id"), F.when(F.col("ord") % 11 == 0, "Other").otherwise(F.col("p_name")).alias("label"), F.concat((F.col("ord") % 5 + 1).cast("string"), F.lit(".0")).alias("sheet")))
+
+
+_RECORDS_SQL = f"""{PP.RECTS_SQL}, {PP.NEAR_SQL},
+it AS (SELECT ord, 'N' || (ord % 97)::VARCHAR AS id, label, (ord % 5 + 1)::VARCHAR || '.0' AS sheet_key, {Q.canon('label')} AS canon FROM (SELECT min(p_partkey) AS ord, CASE WHEN min(p_partkey) % 11 = 0 THEN 'Other' ELSE p_name END AS label FROM part GROUP BY p_name)),
+mp AS (SELECT sheet_key, max(sheet_key) AS title, arg_max(id, ord) FILTER (canon = 'other') AS other_id, min(ord) AS first_ord FROM it GROUP BY sheet_key),
+kept AS (SELECT *, row_number() OVER (PARTITION BY report_id ORDER BY ord) AS image_index FROM u WHERE report_id % 4 <> 0 AND (report_id + ord) % 6 <> 0
+  AND NOT (y1 <= 79.2 OR y0 >= 792.0 - 79.2) AND NOT ((x1 - x0) * (y1 - y0) / (612.0 * 792.0) < 0.03) AND (x0 > 40 AND x0 < 125 AND x1 > 225 AND x1 < 350 AND y0 > 50 AND y0 < 600 AND y1 > 200 AND y1 < 760)),
+rec AS (SELECT 'r' || k.report_id::VARCHAR AS report_id, k.image_index, 'r' || k.report_id::VARCHAR || '_page1_img' || k.image_index::VARCHAR || '.png' AS q, x0, y0, x1, y1, strategy,
+  CASE strategy WHEN 'primary' THEN a WHEN 'expanded-vertical' THEN b WHEN 'proximity-right-half' THEN c ELSE '' END AS text,
+  CASE strategy WHEN 'primary' THEN a <> wa WHEN 'expanded-vertical' THEN b <> wb WHEN 'proximity-right-half' THEN c <> wc ELSE false END AS dropped,
+  CASE strategy WHEN 'proximity-right-half' THEN 306.0 ELSE gx END::DOUBLE AS rx0, CASE WHEN strategy IN ('primary', 'none') THEN a_top ELSE 18.0 END::DOUBLE AS ry0, CASE WHEN strategy IN ('primary', 'none') THEN a_bottom ELSE 774.0 END::DOUBLE AS ry1,
+  CASE WHEN k.report_id % 9 BETWEEN 1 AND 7 THEN (k.report_id % 9)::VARCHAR || '.0' END AS section, 'Report' || chr(10) || (k.report_id % 9)::VARCHAR || '.1 Surface' AS page_text FROM kept k JOIN s ON s.report_id = k.report_id AND s.ord = k.ord),
+pr AS MATERIALIZED (SELECT *, {X.panel('text')[0]} AS panel_raw FROM rec),
+pn AS MATERIALIZED (SELECT *, {X.panel('text')[1]} AS observation FROM pr)"""
+
+
+@query(f"""WITH {_RECORDS_SQL}, {X.cascade('pn')},
+lk AS (SELECT pn.*, casc.* EXCLUDE (q), round(greatest(0.0, least(1.0, 0.35 + least(0.25, 0.25 * greatest(0.0, least(y1, ry1) - greatest(y0, ry0)) / greatest(1.0, y1 - y0))
+  + CASE WHEN regexp_matches(panel_raw, '(?i)^\\s*(?:observations?|discussion|description|recommendations?)\\s*:?\\s*$') THEN 0.15 ELSE 0.0 END
+  - ((CASE WHEN ry0 < 90 THEN 0.15 ELSE 0.0 END) + (CASE WHEN 792 - ry1 < 80 THEN 0.15 ELSE 0.0 END) + (CASE WHEN 594 - rx0 < 80 THEN 0.10 ELSE 0.0 END)))), 6) AS linkage FROM pn JOIN casc USING (q))
+SELECT report_id, 1 AS page, image_index::INTEGER AS image_index, q AS image_file, x0, x1, y0, y1, 612.0::DOUBLE AS page_width, 792.0::DOUBLE AS page_height, NULL::INTEGER AS right_text_blocks_used, panel_raw AS right_text_raw, strategy AS right_text_strategy,
+length(text)::INTEGER AS right_text_chars, '(' || rx0::VARCHAR || ', ' || ry0::VARCHAR || ', 594.0, ' || ry1::VARCHAR || ')' AS right_region, CASE WHEN dropped THEN '1' ELSE '0' END AS right_footer_dropped, coalesce(observation, '') AS observation_raw, '' AS discussion_or_description,
+CASE WHEN observation IS NULL THEN 'full text' ELSE 'observation' END AS label_source, nullif(regexp_extract(panel_raw, '(?i)\\bphotograph\\s*[:\\-–—]?\\s*([0-9]+(?:\\.[0-9]+)?)', 1), '') AS photo_id, label AS observation_label, observation_id, round(confidence_label, 3) AS confidence_label,
+round(linkage, 3) AS confidence_linkage, flag_review OR linkage < 0.35 AS flag_review, concat_ws('; ', nullif(flag_reason, ''), CASE WHEN linkage < 0.35 THEN printf('Low linkage confidence (%.2f)', linkage) END) AS flag_reason, label_method, {_MASKED_SQL},
+NULL::VARCHAR AS alt1_label, NULL::DOUBLE AS alt1_score, NULL::VARCHAR AS alt2_label, NULL::DOUBLE AS alt2_score, section, x1 - x0 AS dx, y1 - y0 AS dy, rx0 AS rtx0, ry0 AS rty0, 594.0::DOUBLE AS rtx1, ry1 AS rty1, 594.0 - rx0 AS rtdx, ry1 - ry0 AS rtdy FROM lk""")
+def image_records(spark, sf_dir):
+    """The main output's 41 columns: orders as pages, their lines as images with texts of parts beside them, part names as the catalogue."""
+    images, blocks = PP.images_and_blocks(spark, sf_dir)
+    name = F.concat(F.lit("r"), F.col("report_id").cast("string"))
+    images = images.select(name.alias("report_id"), "page", F.col("image_id").alias("ord"), "r", "pg", ((F.col("report_id") + F.col("image_id")) % 6 != 0).alias("saved"), F.col("report_id").alias("n"))
+    pages = images.select("report_id", "page", "n").distinct().select("report_id", "page", (F.col("n") % 4 != 0).alias("process"), F.concat(F.lit("Report\n"), (F.col("n") % 9).cast("string"), F.lit(".1 Surface")).alias("raw_text"))
+    items = name_items(spark, sf_dir)
+    found = records.records(images.drop("n"), blocks.withColumn("report_id", name), pages, items, C.sheet_maps(items))
+    return found.select(*[masked_info() if c == "label_method_info" else c for c in found.columns])
