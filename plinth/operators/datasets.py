@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from plinth.functions import similarity as S
@@ -17,17 +19,39 @@ def labelled(manifest: DataFrame, index: DataFrame) -> DataFrame:
     return manifest.join(index, "observation_id")
 
 
-def dense_remap(used: DataFrame, column: str = "class_index") -> DataFrame:
-    """column, remapped: distinct classes numbered from 0 in ascending order.
+def numbered(df: DataFrame, order: list, name: str) -> DataFrame:
+    """df with the position (from 0, long) of each row in the order.
 
-    Range-partitioned ranks: each part is ranked by itself and shifted by the sizes of the parts before it, so no task orders all classes.
+    Range-partitioned ranks: each part is ranked by itself and shifted by the sizes of the parts before it, so no task orders all rows.
     """
+    parts = df.repartitionByRange(*order).withColumn("__part", F.spark_partition_id())
+    sizes = parts.groupBy("__part").agg(F.count("*").alias("n"))  # parts are numbered in the order
+    before = sizes.select("__part", (F.sum("n").over(Window.orderBy("__part")) - F.col("n")).alias("__before"))  # a row per partition
+    rank = F.row_number().over(Window.partitionBy("__part").orderBy(*order)) - 1
+    return parts.withColumn("__rank", rank).join(F.broadcast(before), "__part").withColumn(name, F.col("__rank") + F.col("__before")).drop("__part", "__rank", "__before")
+
+
+def dense_remap(used: DataFrame, column: str = "class_index") -> DataFrame:
+    """column, remapped: distinct classes numbered from 0 in ascending order."""
     distinct = used.select(column).where(F.col(column).isNotNull()).distinct()
-    parts = distinct.repartitionByRange(column).withColumn("__part", F.spark_partition_id())
-    ranked = parts.withColumn("__r", F.row_number().over(Window.partitionBy("__part").orderBy(column)))
-    sizes = ranked.groupBy("__part").agg(F.count("*").alias("n"), F.min(column).alias("least"))
-    before = sizes.select("__part", (F.sum("n").over(Window.orderBy("least")) - F.col("n")).alias("before"))  # a row per partition
-    return ranked.join(F.broadcast(before), "__part").select(column, (F.col("__r") - 1 + F.col("before")).cast("int").alias("remapped"))
+    return numbered(distinct, [F.col(column)], "remapped").select(column, F.col("remapped").cast("int").alias("remapped"))
+
+
+def remapped(rows: DataFrame, remap: DataFrame, column: str = "class_index", name: str = "class_index_remap") -> DataFrame:
+    """Rows with their class in the dense numbering; rows of other classes go."""
+    return rows.join(remap.withColumnRenamed("remapped", name), column)
+
+
+def row_weights(rows: DataFrame, weights: DataFrame, column: str = "class_index") -> DataFrame:
+    """Rows with the sampling weight of their class, 0 without one."""
+    return rows.join(weights.select(column, "weight"), column, "left").withColumn("weight", F.coalesce("weight", F.lit(0.0)))
+
+
+def decoded(predictions: DataFrame, remap: DataFrame, items: DataFrame, column: str = "pred") -> DataFrame:
+    """Predictions in the dense numbering with class_index, and id, label and sheet of the item; null where there is none."""
+    back = remap.select(F.col("class_index"), F.col("remapped").alias(column))
+    named = items.select(F.col("ord").alias("class_index"), F.col("id").alias("observation_id"), "label", "sheet")
+    return predictions.join(back, column, "left").join(named, "class_index", "left")
 
 
 def inverse_weights(classes: DataFrame, counts: DataFrame, column: str = "class_index") -> DataFrame:
@@ -44,30 +68,51 @@ def normalised_weights(classes: DataFrame, counts: DataFrame, column: str = "cla
 
 
 def group_holdout(rows: DataFrame, group: str, share: float = 0.15, seed: int = 1337) -> DataFrame:
-    """group, split: ceil(share * groups) whole groups go to test, those of the least hash."""
-    groups = rows.select(group).distinct().withColumn("__h", F.xxhash64(F.lit(seed), group))
-    n = groups.count()
-    test = groups.orderBy("__h", group).limit(-int(-share * n // 1)).select(group, F.lit("test").alias("split"))
-    return groups.join(test, group, "left").select(group, F.coalesce("split", F.lit("train")).alias("split"))
+    """group, split: ceil(share * groups) whole groups go to test, those of the least MD5 of seed and name."""
+    groups = rows.select(group).distinct().withColumn("__h", F.md5(F.concat(F.lit(f"{seed}|"), F.col(group).cast("string"))))
+    placed = numbered(groups, [F.col("__h"), F.col(group)], "__at")
+    tests = -int(-share * groups.count() // 1)
+    return placed.select(group, F.when(F.col("__at") < tests, "test").otherwise("train").alias("split"))
+
+
+def dealt(load: list[int], size: int, groups: int) -> list[int]:
+    """How many of so many groups of one size each fold gets if each goes to the lightest fold, the first of those equally light."""
+    upto = lambda level: [max(0, -(-(level - x) // size)) for x in load]  # noqa: E731  (groups until no fold is lighter than the level)
+    low, high = min(load), max(load) + size * groups
+    while low < high:
+        middle = (low + high + 1) // 2
+        low, high = (middle, high) if sum(upto(middle)) <= groups else (low, middle - 1)
+    counts, rest = upto(low), groups - sum(upto(low))
+    for j, x in enumerate(load):
+        if rest and x + counts[j] * size == low:
+            counts[j], rest = counts[j] + 1, rest - 1
+    return counts
 
 
 def group_kfold(rows: DataFrame, group: str, k: int = 5) -> DataFrame:
     """group, fold: groups by size descending, each to the lightest fold.
 
-    Greedy by nature. Sizes are grouped first, so the driver handles one number per distinct (size) run and not one per row; groups of one
-    size are dealt in order.
+    Groups of one size are interchangeable, so the driver only computes how many of each size every fold gets: it handles distinct sizes (at most the square root of twice the rows), never groups. The groups of a
+    size go to folds in the order of their names, each fold's in one run.
     """
     sizes = rows.groupBy(group).agg(F.count("*").alias("n"))
-    runs = [(r.n, r.m) for r in sizes.groupBy("n").agg(F.count("*").alias("m")).orderBy(F.desc("n")).collect()]
-    spark, load, out = rows.sparkSession, [0] * k, []
-    for n, m in runs:
-        for i in range(m):
-            f = min(range(k), key=lambda j: (load[j], j))
-            load[f] += n
-            out.append((n, i + 1, f))
-    plan = spark.createDataFrame(out, "n long, i int, fold int")
-    ranked = sizes.withColumn("i", F.row_number().over(Window.partitionBy("n").orderBy(group)))
-    return ranked.join(plan, ["n", "i"]).select(group, "fold")
+    load, plan = [0] * k, []
+    for r in sizes.groupBy("n").agg(F.count("*").alias("m")).orderBy(F.desc("n")).collect():
+        at = 0
+        for fold, count in enumerate(dealt(load, r.n, r.m)):
+            plan.append((r.n, at, at + count, fold))
+            load[fold] += r.n * count
+            at += count
+    runs = rows.sparkSession.createDataFrame(plan, "n long, low long, high long, fold int")
+    placed = numbered(sizes, [F.desc("n"), F.col(group)], "__at")
+    first = runs.groupBy("n").agg(F.max("high").alias("m"))
+    before = first.select("n", (F.sum("m").over(Window.orderBy(F.desc("n"))) - F.col("m")).alias("__before"))  # a row per size
+    ranked = placed.join(before, "n").withColumn("__i", F.col("__at") - F.col("__before"))
+    return ranked.join(runs, "n").where((F.col("__i") >= F.col("low")) & (F.col("__i") < F.col("high"))).select(group, "fold")
+
+
+def shift_of(seed: int) -> float:
+    return int(hashlib.md5(str(seed).encode()).hexdigest()[:8], 16) / 2**32
 
 
 def weighted_draws(rows: DataFrame, weight: str, key: str, draws: int, seed: int = 0) -> DataFrame:
@@ -77,12 +122,11 @@ def weighted_draws(rows: DataFrame, weight: str, key: str, draws: int, seed: int
     offsets of partitions before it.
     """
     parts = rows.select(key, F.col(weight).cast("double").alias("w")).repartitionByRange(key).withColumn("__p", F.spark_partition_id())
-    sums = parts.groupBy("__p").agg(F.sum("w").alias("s"), F.min(key).alias("least"))
-    offsets = sums.select("__p", (F.sum("s").over(Window.orderBy("least")) - F.col("s")).alias("o"), F.sum("s").over(Window.partitionBy(F.lit(0))).alias("total"))  # a row per partition
+    sums = parts.groupBy("__p").agg(F.sum("w").alias("s"))
+    offsets = sums.select("__p", (F.sum("s").over(Window.orderBy("__p")) - F.col("s")).alias("o"), F.sum("s").over(Window.partitionBy(F.lit(0))).alias("total"))  # a row per partition
     run = F.sum("w").over(Window.partitionBy("__p").orderBy(key).rowsBetween(Window.unboundedPreceding, 0))
     placed = parts.withColumn("__run", run).join(F.broadcast(offsets), "__p")
-    shift = (F.pmod(F.xxhash64(F.lit(seed)), F.lit(1_000_003)) / F.lit(1_000_003.0))
-    at = lambda c: F.ceil(c / F.col("total") * draws - shift)
+    at = lambda c: F.ceil(c / F.col("total") * draws - shift_of(seed))
     high = F.col("o") + F.col("__run")
     return placed.select(key, (at(high) - at(high - F.col("w"))).cast("long").alias("times"))
 
@@ -115,6 +159,9 @@ def best_temperature(rows: DataFrame, low: float = 0.5, high: float = 3.0, step:
     All grid points are evaluated in one pass over the rows.
     """
     grid = [round(low + i * step, 10) for i in range(round((high - low) / step) + 1)]
-    means = rows.agg(*[F.avg(nll(F.col("logits"), F.col("y"), F.lit(t))).alias(f"t{i}") for i, t in enumerate(grid)])
+    # the logits less their greatest, made once; a grid point then needs one pass over them
+    rows = rows.select(F.transform("logits", lambda x: x - F.array_max("logits")).alias("c"), "y").select("c", F.get("c", F.col("y")).alias("own"))
+    loss = lambda t: F.log(F.aggregate("c", F.lit(0.0), lambda s, x: s + F.exp(x / t))) - F.col("own") / t
+    means = rows.agg(*[F.avg(loss(t)).alias(f"t{i}") for i, t in enumerate(grid)])
     best = F.array_min(F.array(*[F.struct(F.round(f"t{i}", 9).alias("mean_nll"), F.lit(t).alias("temperature")) for i, t in enumerate(grid)]))
     return means.select(best.alias("b")).select("b.temperature", "b.mean_nll")

@@ -102,7 +102,8 @@ def class_weights_b(spark, sf_dir):
     return D.normalised_weights(*_classes(spark, sf_dir)).withColumn("weight", F.round("weight", 6))
 
 
-@query(None)
+@query("""WITH g AS (SELECT DISTINCT source FROM documents), r AS (SELECT source, row_number() OVER (ORDER BY md5('1337|' || source), source) AS r, count(*) OVER () AS n FROM g)
+SELECT source, CASE WHEN r <= ceil(0.15 * n) THEN 'test' ELSE 'train' END AS split FROM r""")
 def group_holdout(spark, sf_dir):
     return D.group_holdout(table(spark, sf_dir, "documents"), "source")
 
@@ -112,7 +113,8 @@ def group_kfold(spark, sf_dir):
     return D.group_kfold(table(spark, sf_dir, "documents"), "source")
 
 
-@query(None)
+@query(f"""WITH w AS (SELECT doc_id, 1.0::DOUBLE + 4 * toxic AS w FROM labels), c AS (SELECT doc_id, w, sum(w) OVER (ORDER BY doc_id ROWS UNBOUNDED PRECEDING) AS high, sum(w) OVER () AS total FROM w)
+SELECT doc_id, (ceil(high / total * 1000 - {D.shift_of(0)!r}) - ceil((high - w) / total * 1000 - {D.shift_of(0)!r}))::BIGINT AS times FROM c""")
 def weighted_sample(spark, sf_dir):
     labels = table(spark, sf_dir, "labels")
     return D.weighted_draws(labels.withColumn("w", 1.0 + 4 * F.col("toxic")), "w", "doc_id", 1000)
@@ -144,13 +146,13 @@ def report_averages(spark, sf_dir):
 
 
 @query("""WITH g AS (SELECT unnest(range(26)) AS i), t AS (SELECT round(0.5 + i * 0.1, 10) AS t FROM g),
-e AS (SELECT (label % 8)::INTEGER AS y, list_transform(embedding[1:8], lambda x: 10 * x::DOUBLE) AS l FROM embeddings),
+e AS (SELECT (label % 8)::INTEGER AS y, list_transform(embedding, lambda x: 10 * x::DOUBLE) AS l FROM embeddings),
 s AS (SELECT t, y, list_transform(l, lambda x: x / t) AS z FROM e, t),
 n AS (SELECT t, list_max(z) + ln(list_sum(list_transform(z, lambda x: exp(x - list_max(z))))) - z[y + 1] AS nll FROM s),
 m AS (SELECT t, round(avg(nll), 9) AS mean_nll FROM n GROUP BY t)
 SELECT t AS temperature, round(mean_nll, 6) AS mean_nll FROM m ORDER BY m.mean_nll, t LIMIT 1""")
 def temperature_search(spark, sf_dir):
-    e = table(spark, sf_dir, "embeddings").select((F.col("label") % 8).cast("int").alias("y"), F.transform(F.slice("embedding", 1, 8), lambda x: x.cast("double") * 10).alias("logits"))
+    e = table(spark, sf_dir, "embeddings").select((F.col("label") % 8).cast("int").alias("y"), F.transform("embedding", lambda x: x.cast("double") * 10).alias("logits"))
     return D.best_temperature(e).select("temperature", F.round("mean_nll", 6).alias("mean_nll"))
 
 
@@ -161,11 +163,11 @@ def evaluate_batches(spark, sf_dir):
     return o.groupBy("o_custkey").agg(F.count("*").alias("n"), F.round(F.avg((F.col("o_orderstatus") == "F").cast("double")), 6).alias("accuracy"), F.round(F.sum(F.col("o_totalprice") * F.col("loss")) / F.sum("o_totalprice"), 6).alias("mean_loss"))
 
 
-@query("""WITH e AS (SELECT vec_id, list_transform(embedding[1:8], lambda x: 10 * x::DOUBLE) AS l FROM embeddings)
+@query("""WITH e AS (SELECT vec_id, list_transform(embedding, lambda x: 10 * x::DOUBLE) AS l FROM embeddings)
 SELECT vec_id, (list_position(l, list_max(l)) - 1)::INTEGER AS best, round(exp(l[3] - list_max(l)) / list_sum(list_transform(l, lambda x: exp(x - list_max(l)))), 6) AS entailment,
 round(list_max(l) + ln(list_sum(list_transform(l, lambda x: exp(x - list_max(l))))), 6) AS log_sum FROM e""")
 def logit_functions(spark, sf_dir):
     from plinth.functions import similarity as S
 
-    e = table(spark, sf_dir, "embeddings").select("vec_id", F.transform(F.slice("embedding", 1, 8), lambda x: x.cast("double") * 10).alias("l"))
+    e = table(spark, sf_dir, "embeddings").select("vec_id", F.transform("embedding", lambda x: x.cast("double") * 10).alias("l"))
     return e.select("vec_id", S.argmax(F.col("l")).alias("best"), F.round(S.softmax_at(F.col("l"), 2), 6).alias("entailment"), F.round(S.log_sum_exp(F.col("l")), 6).alias("log_sum"))

@@ -121,12 +121,12 @@ def catalog_counts(spark, sf_dir):
 
 
 def _blocks(spark, sf_dir) -> DataFrame:
-    rows = table(spark, sf_dir, "conversations").withColumn("own", F.when(F.col("turn") % 3 == 0, F.concat(F.lit("("), F.chr(F.lit(98) + F.col("turn") % 5), F.lit(")"))).otherwise("")).withColumn("label", F.left("text", F.lit(12)))
+    rows = table(spark, sf_dir, "conversations").withColumn("own", F.when(F.col("turn") % 3 == 0, F.concat(F.lit("("), F.chr(F.lit(98) + F.col("turn") % 5), F.lit(")"))).otherwise("")).withColumn("label", F.col("text"))
     return C.fill_blocks(rows, "conv_id", "turn", F.col("role") == "user", F.length("text") > 60, ["label"])
 
 
 _BLOCKS_SQL = """
-c AS (SELECT *, CASE WHEN turn % 3 = 0 THEN '(' || chr((98 + turn % 5)::INTEGER) || ')' ELSE '' END AS own, substring(text, 1, 12) AS label FROM conversations),
+c AS (SELECT *, CASE WHEN turn % 3 = 0 THEN '(' || chr((98 + turn % 5)::INTEGER) || ')' ELSE '' END AS own, text AS label FROM conversations),
 b AS (SELECT *, sum((role = 'user')::INTEGER) OVER (PARTITION BY conv_id ORDER BY turn ROWS UNBOUNDED PRECEDING) AS block FROM c),
 f AS (SELECT *, first_value(label) OVER w AS block_label, first_value(length(text) > 60) OVER w AS fine, row_number() OVER w - 1 AS pos FROM b WHERE block > 0 WINDOW w AS (PARTITION BY conv_id, block ORDER BY turn)),
 o AS (SELECT conv_id, turn, block::BIGINT AS block, block_label, CASE WHEN own <> '' THEN substring(own, 2, 1) ELSE chr((97 + pos)::INTEGER) END AS letter FROM f WHERE fine)"""
@@ -147,7 +147,7 @@ def catalog_group_options(spark, sf_dir):
     return grouped.select("conv_id", "block_label", F.array_join("choice_order", ",").alias("letters"), F.array_join(last, ",").alias("last_turns"))
 
 
-@query(None)
+@query(f"WITH {CATALOGUE_SQL} SELECT sha1(string_agg(sha1(concat_ws(chr(31), ord::VARCHAR, id, label, sheet_key)), '' ORDER BY ord)) AS signature FROM items")
 def catalog_signature(spark, sf_dir):
     return C.signature(parts_as_catalogue(spark, sf_dir))
 

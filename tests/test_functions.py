@@ -1,5 +1,6 @@
 """Hand-derived cases of the functions."""
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -124,3 +125,34 @@ def test_draws(spark):
 def test_buckets(spark):
     rows = spark.createDataFrame([("a", "l", ".5"), ("b", "l", ".501"), ("c", "l", "x"), ("d", "l", None)], "image_file string, label string, confidence string")
     assert {r.image_file: r.bucket for r in reports.bucket_rows(rows).collect()} == {"a": "low", "b": "high", "c": "low", "d": "low"}
+
+
+def test_folds_are_dealt_as_one_by_one():
+    rng = np.random.default_rng(0)
+    for _ in range(200):
+        load, size, groups = [int(x) for x in rng.integers(0, 60, 5)], int(rng.integers(1, 9)), int(rng.integers(0, 40))
+        plain, counts = list(load), [0] * 5
+        for _ in range(groups):
+            f = min(range(5), key=lambda j: (plain[j], j))
+            plain[f] += size
+            counts[f] += 1
+        assert D.dealt(load, size, groups) == counts
+
+
+def test_kfold_of_many_groups(spark):
+    rows = spark.createDataFrame([(g,) for g in range(300) for _ in range(g % 7 + 1)], "g int")
+    got = D.group_kfold(rows, "g").collect()
+    assert len(got) == 300 and len({r.g for r in got}) == 300
+    load = [sum(r.g % 7 + 1 for r in got if r.fold == f) for f in range(5)]
+    assert max(load) - min(load) <= 1
+
+
+def test_remap_weights_and_decoding(spark):
+    rows = spark.createDataFrame([(1, 7), (2, 3), (3, 7), (4, 9)], "i int, class_index int")
+    remap = D.dense_remap(rows.where("i < 4"))
+    assert {(r.i, r.class_index_remap) for r in D.remapped(rows, remap).collect()} == {(1, 1), (2, 0), (3, 1)}
+    weights = D.inverse_weights(remap, rows)
+    assert {(r.i, r.weight) for r in D.row_weights(rows, weights).collect()} == {(1, 0.5), (2, 1.0), (3, 0.5), (4, 0.0)}
+    items = spark.createDataFrame([(7, "x", "X", "1.0")], "ord int, id string, label string, sheet string")
+    got = D.decoded(spark.createDataFrame([(1, 1), (2, 0), (3, 5)], "i int, pred int"), remap, items).collect()
+    assert {(r.i, r.class_index, r.observation_id) for r in got} == {(1, 7, "x"), (2, 3, None), (3, None, None)}
