@@ -13,7 +13,7 @@ text's samples at which both wrote the same byte.
 
 ``classes`` links texts of a likeness of ``NEAR`` or more. Bits are sampled from the bytes: a band is a bucket key of some bits, and texts that share a
 band's bits meet in a bucket. For that both must read the same positions, so bands belong to a class of lengths (2^c to 2^(c+1) steps) and use positions below 2^c; a text
-also goes to the class below if a text of that class could be near it. In a bucket texts are compared by a sketch of 128 more sampled bits. Those that have a candidate there are then verified:
+also goes to the class below if a text of that class could be near it. In a bucket texts are compared by a sketch of 64 more sampled bits. Those that have a candidate there are then verified:
 all pairs of them in the bucket, by likeness. Bands are as wide as the number of texts needs and so many that two texts
 at the least likeness share one with a probability of ``RECALL``; README has the measured recall.
 
@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from plinth.llm.common import connected_components, materialize, pieces_for
-from plinth.llm.simhash_groups import _units, checked, set_links, spanning
+from plinth.llm.simhash_groups import _units, checked, set_links
 
 SAMPLES = 128
 PERIOD = 4096
@@ -44,10 +44,9 @@ BUCKET_ROWS = 2000
 MAX_BUCKETS = 1 << 15
 NEAR = 0.8
 RECALL = 0.95
-SKETCH_BITS = 128
-SKETCH_MOST = 28  # differing bits; about 13 at the least likeness, 57 of texts that have nothing to do with each other
+SKETCH_BITS = 64
+SKETCH_MOST = 13  # differing bits; about 6 at the least likeness, 28 of texts that have nothing to do with each other
 UNIT_ROWS = 4096
-VERIFY_ROWS = 256
 
 
 @lru_cache(1)
@@ -240,7 +239,7 @@ def _class(c: int, bits: int, bands: int) -> tuple[int, int, np.ndarray, np.ndar
 
 
 def band_rows(fps: np.ndarray, prints: list[str], bits: int, bands: int) -> tuple[np.ndarray, ...]:
-    """shard, fp, and the sketch as two numbers, of each band of each fingerprint."""
+    """shard, fp, and the sketch, of each band of each fingerprint."""
     by: dict[int, tuple[list[int], list[np.ndarray]]] = {}
     for i, text in enumerate(prints):
         length, marks = _open(text)
@@ -255,86 +254,105 @@ def band_rows(fps: np.ndarray, prints: list[str], bits: int, bands: int) -> tupl
             at.append(i)
             rows.append(marks if c == own and length == limit else marks[np.array(_positions(length)) < limit])
             rows[-1] = rows[-1][:n]
-    out = [[np.zeros(0, np.int64)] for _ in range(4)]
+    out = [[np.zeros(0, np.int64)] for _ in range(3)]
     for c, (at, rows) in by.items():
         _, _, of_band, of_sketch = _class(c, bits, bands)
         flat = np.unpackbits(np.stack(rows), axis=1)
         sketch = np.ascontiguousarray(np.packbits(flat[:, of_sketch], axis=1)).view(np.int64)
         for b in range(bands):
             key = flat[:, of_band[b]].astype(np.int64) @ (1 << np.arange(bits, dtype=np.int64))
-            for held, column in zip(out, (((c * 256 + b) << 48) | key, fps[at], sketch[:, 0], sketch[:, 1]), strict=True):
+            for held, column in zip(out, (((c * 256 + b) << 48) | key, fps[at], sketch[:, 0]), strict=True):
                 held.append(column)
     return tuple(np.concatenate(x) for x in out)
 
 
-def have_partners(unit: np.ndarray, side: np.ndarray, s1: np.ndarray, s2: np.ndarray) -> np.ndarray:
+def have_partners(unit: np.ndarray, side: np.ndarray, sketch: np.ndarray) -> np.ndarray:
     """Which rows have another in their unit whose sketch differs in SKETCH_MOST bits at most (rows sorted by unit; sides as in simhash_dedup.forest)."""
-    s1, s2 = s1.view(np.uint64), s2.view(np.uint64)
+    sketch = sketch.view(np.uint64)
     n, out, at, k = len(unit), np.zeros(len(unit), bool), np.arange(len(unit)), 0
     while len(at):
         k += 1
         at = at[at + k < n]
         at = at[unit[at] == unit[at + k]]
         to = at + k
-        hit = (np.bitwise_count(s1[at] ^ s1[to]).astype(np.int16) + np.bitwise_count(s2[at] ^ s2[to]) <= SKETCH_MOST) & ((side[at] == 0) | (side[at] != side[to]))
+        hit = (np.bitwise_count(sketch[at] ^ sketch[to]) <= SKETCH_MOST) & ((side[at] == 0) | (side[at] != side[to]))
         out[at[hit]] = True
         out[to[hit]] = True
     return out
 
 
 def alike_links(prints: list[np.ndarray], sub: np.ndarray, side: np.ndarray, least: float = NEAR) -> list[tuple[int, int]]:
-    """A spanning forest of the pairs of a likeness of least or more (as simhash_groups.similar_links). prints: length (big-endian) and marks, in 64-bit words."""
+    """A spanning forest of the pairs of a likeness of least or more (as simhash_groups.similar_links, each row a sub-group of its own). prints: length (big-endian) and marks, in 64-bit words.
+
+    Grown row by row: each is compared with those not reached yet, so a group of copies costs little more than one comparison a row.
+    """
     table = np.stack(prints)
     length, marks = table[:, 0].byteswap().astype(np.int64), np.ascontiguousarray(table[:, 1:]).view(np.uint8)
-    near = np.zeros((len(prints), len(prints)), bool)
-    for i in range(len(prints)):
-        shorter = np.flatnonzero(length <= length[i])
-        reached = np.array(_positions(int(length[i])))[None, :] < length[shorter, None]
-        own = np.take_along_axis(marks[shorter], np.maximum(np.cumsum(reached, axis=1) - 1, 0), axis=1)
-        near[i, shorter] = ((own == marks[i]) & reached).sum(axis=1) >= least * SAMPLES
-    near |= near.T
-    return spanning(near & (sub[:, None] != sub) & ((side[:, None] == 0) | (side[:, None] != side)))
+    positions = np.stack([_positions(int(n)) for n in length])
+    out, unseen = [], np.ones(len(prints), bool)
+
+    def near(i: int, others: np.ndarray) -> np.ndarray:
+        """Of the other rows those alike: the longer one's positions that the shorter one reaches are the shorter one's first."""
+        longer = (length[others] > length[i])[:, None]
+        reached = np.where(longer, positions[others] < length[i], positions[i][None, :] < length[others, None])
+        at = np.maximum(np.cumsum(reached, axis=1) - 1, 0)
+        long_marks = np.where(longer, marks[others], marks[i][None, :])
+        short_marks = np.take_along_axis(np.where(longer, marks[i][None, :], marks[others]), at, axis=1)
+        return others[((long_marks == short_marks) & reached).sum(axis=1) >= least * SAMPLES]
+
+    for start in range(len(prints)):
+        if not unseen[start]:
+            continue
+        unseen[start], open_ = False, [start]
+        while open_:
+            i = open_.pop()
+            others = np.flatnonzero(unseen & ((side[i] == 0) | (side != side[i])) & (np.minimum(length, length[i]) >= least / 2 * np.maximum(length, length[i])))
+            for lo in range(0, len(others), 4096):
+                found = near(i, others[lo : lo + 4096]).tolist()
+                unseen[found] = False
+                open_ += found
+                out += [(i, j) for j in found]
+    return out
 
 
 def candidates(distinct: DataFrame, rows: int, unit_rows: int = UNIT_ROWS) -> DataFrame:
-    """shard, fp: the fingerprints (fp long, fingerprint) of each bucket that have another with a like sketch there."""
+    """unit, side, fp: the fingerprints (fp long, fingerprint) of each bucket that have another with a like sketch there; buckets over unit_rows are dealt as pairs of chunks."""
     bits, bands = plan(rows)
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             columns = band_rows(b.column(0).to_numpy(zero_copy_only=False), b.column(1).to_pylist(), bits, bands)
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["shard", "fp", "s1", "s2"])
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["shard", "fp", "sketch"])
 
-    routed = distinct.select("fp", "fingerprint").mapInArrow(route, "shard long, fp long, s1 long, s2 long")
+    routed = distinct.select("fp", "fingerprint").mapInArrow(route, "shard long, fp long, sketch long")
     large = materialize(routed.groupBy("shard").agg(F.count("*").alias("n")).where(F.col("n") > unit_rows), "large-buckets")
-    if large.isEmpty():
-        dealt = routed.select(F.col("shard").alias("unit"), F.lit(0).alias("side"), "shard", "fp", "s1", "s2")
-    else:
-        dealt = _units(routed.withColumn("bucket", F.col("shard")), large, unit_rows, "left").select("unit", "side", F.col("bucket").alias("shard"), "fp", "s1", "s2")
+    dealt = routed.select(F.col("shard").alias("unit"), F.lit(0).alias("side"), "fp", "sketch") if large.isEmpty() else _units(routed, large, unit_rows, "left")
+    # the side (0 to 2) is kept in the last two bits, to move less
+    dealt = dealt.select(F.xxhash64("unit").bitwiseAND(-4).bitwiseOR(F.col("side").cast("long")).alias("unit"), "fp", "sketch")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, ...]] = []
 
         def flush(last: bool) -> Iterator[pa.RecordBatch]:
             nonlocal held
-            rows = tuple(np.concatenate(x) for x in zip(*held, strict=True))
-            cut = len(rows[0]) if last else int(np.searchsorted(rows[0], rows[0][-1]))
-            held = [] if last else [tuple(x[cut:] for x in rows)]
+            unit, fp, sketch = (np.concatenate(x) for x in zip(*held, strict=True))
+            cut = len(unit) if last else int(np.searchsorted(unit, unit[-1] & -4))
+            held = [] if last else [(unit[cut:], fp[cut:], sketch[cut:])]
             if cut:
-                unit, side, shard, fp, s1, s2 = (x[:cut] for x in rows)
-                found = have_partners(unit, side, s1, s2)
-                yield pa.RecordBatch.from_arrays([pa.array(shard[found]), pa.array(fp[found])], names=["shard", "fp"])
+                found = have_partners(unit[:cut] & -4, unit[:cut] & 3, sketch[:cut])
+                yield pa.RecordBatch.from_arrays([pa.array(unit[:cut][found] & -4), pa.array((unit[:cut][found] & 3).astype(np.int32)), pa.array(fp[:cut][found])], names=["unit", "side", "fp"])
 
         for b in batches:
             if b.num_rows:
-                held.append(tuple(b.column(i).to_numpy(zero_copy_only=False) for i in range(6)))
+                held.append(tuple(b.column(i).to_numpy(zero_copy_only=False) for i in range(3)))
                 if sum(len(h[0]) for h in held) > 50_000:
                     yield from flush(False)
         if held:
             yield from flush(True)
 
-    units = dealt.repartition(pieces_for(rows * bands, 200_000, 8), "unit").sortWithinPartitions("unit")
-    return units.mapInArrow(compare, "shard long, fp long").distinct()
+    group = F.col("unit").bitwiseAND(-4)
+    units = dealt.repartition(pieces_for(rows * bands, 200_000, 8), group).sortWithinPartitions("unit")
+    return units.mapInArrow(compare, "unit long, side int, fp long")
 
 
 def classes(prints: DataFrame) -> DataFrame:
@@ -351,8 +369,7 @@ def classes(prints: DataFrame) -> DataFrame:
     asked = materialize(found.select("fp").distinct(), "near-ids")
     packed = distinct.join(checked(asked), "fp", "left_semi").select("fp", "doc_id", F.concat(size, marks).alias("hashes"))
     packed = materialize(packed, "near-prints")
-    counts = materialize(found.groupBy("shard").agg(F.count("*").alias("n")).where("n > 1"), "near-buckets")
-    units = _units(found, counts, VERIFY_ROWS, "inner").withColumn("sub", F.col("fp")).join(packed.select("fp", "hashes"), "fp")
+    units = found.withColumn("sub", F.col("fp")).join(packed.select("fp", "hashes"), "fp")
     links = materialize(set_links(units, found.count(), NEAR, alike_links), "near-links")
     labels = connected_components(links).withColumnRenamed("node", "fp")
     least = packed.select("fp", F.col("doc_id").alias("least_id")).join(labels, "fp").join(repeated.select("fp", F.col("least_id").alias("other_id")), "fp", "left").select("fp", "label", F.coalesce("other_id", "least_id").alias("least_id"))
