@@ -11,24 +11,33 @@ if importlib.util.find_spec("corpus_pipeline") is None:
 import corpus_pipeline as C
 
 
-def plain_rake(cells, power=mixing.POWER, rounds=mixing.ROUNDS):
-    """cells: {(source, lang, topic): tokens} -> weights."""
-    total = sum(cells.values())
-    targets = []
+def plain_rake(cells):
+    """Probability of each cell, by scaling each value's cells to its wanted tokens, step by step."""
+    total, p = sum(cells.values()), {k: mixing.FRACTION for k, n in cells.items() if n}
+    wanted = []
     for d in range(3):
-        sums = {}
+        supply = {}
         for k, n in cells.items():
-            sums[k[d]] = sums.get(k[d], 0) + n
-        raw = {v: n**power for v, n in sums.items()}
-        targets.append({v: x / sum(raw.values()) for v, x in raw.items()})
-    w = {k: n / total for k, n in cells.items()}
-    for _ in range(rounds):
+            if n:
+                supply[k[d]] = supply.get(k[d], 0) + n
+        share = {v: n**mixing.POWER / sum(m**mixing.POWER for m in supply.values()) for v, n in supply.items()}
+        full = set()
+        while True:  # values that run short give all they have
+            rest = mixing.FRACTION * total - sum(supply[v] for v in full)
+            factor = rest / sum(share[v] for v in supply if v not in full)
+            more = {v for v in supply if v not in full and factor * share[v] >= supply[v]}
+            if not more:
+                break
+            full |= more
+        wanted.append({v: supply[v] if v in full else factor * share[v] for v in supply})
+    for _ in range(mixing.ROUNDS):
         for d in range(3):
-            sums = {}
-            for k, x in w.items():
-                sums[k[d]] = sums.get(k[d], 0) + x
-            w = {k: x * targets[d][k[d]] / sums[k[d]] for k, x in w.items()}
-    return w
+            for v, want in wanted[d].items():
+                own = sorted((k for k in p if k[d] == v), key=lambda k: -p[k])
+                cuts = [(want - sum(cells[k] for k in own[:i])) / sum(cells[k] * p[k] for k in own[i:]) for i in range(len(own))]
+                for k in own:
+                    p[k] *= max(cuts)
+    return {k: min(1.0, p.get(k, 1.0)) for k in cells}
 
 
 def plain_topic(text):
@@ -56,7 +65,7 @@ def test_stages_and_run(spark):
     assert ids("near_dedup") < set(clean)
     check_survivors(clean, ids("near_dedup"))
 
-    p = pii.Pseudonymiser()
+    p = pii.Pseudonymiser(pii.session_key(spark))
     private = {r.doc_id: r.text for r in stage["pii"].collect()}
     assert private == {d: p.replace(clean[d].text)[0] for d in ids("near_dedup")}
 
@@ -68,9 +77,7 @@ def test_stages_and_run(spark):
         key[d] = (clean[d].source, clean[d].lang, plain_topic(t))
         n = len(re.findall(r"[^ \t\n\x0b\f\r]+", t))
         cells[key[d]] = cells.get(key[d], 0) + n
-    w = plain_rake(cells)
-    total = sum(cells.values())
-    probability = {k: min(1.0, w[k] * mixing.FRACTION * total / n) for k, n in cells.items()}
+    probability = plain_rake(cells)
     chosen = {d for d in private if int(hashlib.md5(str(d).encode()).hexdigest()[:8], 16) / 2**32 < probability[key[d]]}
     assert ids("mixing") == chosen
 
