@@ -156,3 +156,11 @@ def test_remap_weights_and_decoding(spark):
     items = spark.createDataFrame([(7, "x", "X", "1.0")], "ord int, id string, label string, sheet string")
     got = D.decoded(spark.createDataFrame([(1, 1), (2, 0), (3, 5)], "i int, pred int"), remap, items).collect()
     assert {(r.i, r.class_index, r.observation_id) for r in got} == {(1, 7, "x"), (2, 3, None), (3, None, None)}
+
+
+def test_fixed_digits_are_those_of_the_binary_value(spark):
+    rng = np.random.default_rng(5)
+    values = [0.7995, 0.8125, 0.0005, 0.0, 1.0, 0.9996, 1.03, 12.3455, *((np.arange(1000) * 10 + 5) / 10000), *rng.random(500), *rng.random(50) / 1000]
+    frame = spark.createDataFrame([(float(v),) for v in values], "v double")
+    for digits in (2, 3, 6):
+        assert [(r.v, r.t) for r in frame.select("v", T.fixed(F.col("v"), digits).alias("t")).collect()] == [(float(v), f"{v:.{digits}f}") for v in values]
