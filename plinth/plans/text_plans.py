@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from plinth.functions import similarity as S, text as T
 from plinth.operators import catalogue as C
 from plinth.plans import sqlgen as Q
-from plinth.plans.registry import query, table
+from plinth.plans.registry import query, spread, table
 
 SOME_PHRASES = ("drain clogged with debris", "standing water at drain strainer", "remove gravel from drain screen", "membrane blister at seam lap", "vegetation and leaves blocked flow", "open parapet coping", "pipe flashing", "slow drain ponding")
 _PHRASES_SQL = "[" + ", ".join(f"'{p}'" for p in SOME_PHRASES) + "]"
@@ -154,8 +154,8 @@ def catalog_signature(spark, sf_dir):
 
 @query(f"""WITH g AS (SELECT p_partkey, unnest({Q.char_grams(PART_TEXT_SQL)}) AS gram FROM part) SELECT p_partkey, gram, count(*) AS n FROM g GROUP BY ALL""")
 def char_grams(spark, sf_dir):
-    g = S.gram_rows(table(spark, sf_dir, "part"), "p_partkey", part_text()).withColumnRenamed("w", "gram")
-    return g.groupBy("p_partkey", "gram").agg(F.count("*").alias("n"))
+    parts = spread(table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type"))
+    return S.gram_counts(parts.select("p_partkey", part_text().alias("text")), "p_partkey", "text")
 
 
 @query("""SELECT conv_id, min(turn) AS first_turn, bool_or(regexp_matches(lower(text), 'id|observation|cause|choice|recommendation|text')) AS headerlike FROM conversations GROUP BY conv_id""")

@@ -164,3 +164,7 @@ def test_fixed_digits_are_those_of_the_binary_value(spark):
     frame = spark.createDataFrame([(float(v),) for v in values], "v double")
     for digits in (2, 3, 6):
         assert [(r.v, r.t) for r in frame.select("v", T.fixed(F.col("v"), digits).alias("t")).collect()] == [(float(v), f"{v:.{digits}f}") for v in values]
+
+
+def test_rounded_goes_by_the_scaled_double(spark):
+    assert one(spark, S.rounded(F.col("c"), 4), c=0.35505) == 0.355 and one(spark, S.rounded(F.col("c"), 4), c=0.27546) == 0.2755
