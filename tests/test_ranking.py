@@ -55,3 +55,12 @@ def test_rules_of_many_parts_are_dealt(spark, tmp_path):
     for name in ("rule_info", "keyword_prior", "rule_score", "char_grams"):
         shown = QUERIES[name](spark, str(tmp_path))
         assert shown.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+
+
+def test_cascade_writes_no_texts(spark, monkeypatch, sf_dir):
+    written = []
+    real = K.staged
+    monkeypatch.setattr(K, "staged", lambda df, tag: written.append((tag, df.columns)) or real(df, tag))
+    QUERIES["label_cascade"](spark, sf_dir).count()
+    assert {t for t, _ in written} == {"items", "maps", "decided"}
+    assert not {"text", "panel_raw", "observation_raw", "page_text"} & {c for _, columns in written for c in columns}
