@@ -75,9 +75,14 @@ def lines_of(text: Column) -> Column:
     return F.split(text, LINE_ENDS)
 
 
-def toc_like(text: Column, p: Patterns = PATTERNS) -> Column:
-    """True for a page that looks like a table of contents; false for a page without any line."""
-    lines = F.filter(lines_of(text), lambda x: T.strip(x) != "")
+def full_lines(text: Column) -> Column:
+    """The lines of a text that aren't blank."""
+    return F.filter(lines_of(text), lambda x: x.rlike(r"[^\s\p{Z}]"))
+
+
+def toc_like(text: Column, p: Patterns = PATTERNS, lines: Column | None = None) -> Column:
+    """True for a page that looks like a table of contents; false for a page without any line. lines: its full_lines, where they are a column already."""
+    lines = full_lines(text) if lines is None else lines
     hits = lambda rx: F.size(F.filter(lines, lambda x: has(x, rx)))
     dotted = F.size(F.filter(lines, lambda x: F.reverse(x).rlike(p.toc_line_from_end)))
     many = (hits(p.roof_section_line) >= 3) | (hits(p.indented_line) >= 3) | (dotted >= 6) | (dotted / F.greatest(F.size(lines), F.lit(1)) >= 0.30)
@@ -149,10 +154,15 @@ def appendix_starts(pages: DataFrame, p: Patterns = PATTERNS) -> DataFrame:
     return from_toc.join(headed, "report_id", "full_outer").select("report_id", F.coalesce("listed", "headed").cast("int").alias("appendix_start"))
 
 
+def hints(page: Column, p: Patterns = PATTERNS) -> Column:
+    """A page's text has both strong and weak hints."""
+    return has(page, *p.strong) & has(page, *p.weak)
+
+
 def gate(pages: DataFrame, p: Patterns = PATTERNS) -> DataFrame:
     """pages with obs_state, domain_state, reason and process.
 
-    pages: report_id, page0, n_pages, toc_start, toc_end, appendix_start, heading (BLOCK, OBS, OTHER), domain (ROOF, BUILDING, OTHER), images, layout_ok, raw_text.
+    pages: report_id, page0, n_pages, toc_start, toc_end, appendix_start, heading (BLOCK, OBS, OTHER), domain (ROOF, BUILDING, OTHER), images, layout_ok, and hinted (``hints`` of a page) or else raw_text, which is then sorted with the pages.
     Title, last, contents and appendix pages leave the section latch as it is but move the domain latch; a page without images moves both. Contents are the range found, not any page that
     looks like it.
     """
@@ -161,7 +171,7 @@ def gate(pages: DataFrame, p: Patterns = PATTERNS) -> DataFrame:
     out = pages.withColumn("__early", early)
     out = latch(out, "report_id", ["page0"], "obs_state", F.col("heading") == "OBS", F.col("heading") == "BLOCK", F.col("__early").isNull())
     out = last_seen(out, "report_id", ["page0"], "domain_state", F.when(F.col("domain") != "OTHER", F.col("domain")), "OTHER")
-    hinted = has(F.col("raw_text"), *p.strong) & has(F.col("raw_text"), *p.weak)
+    hinted = F.col("hinted") if "hinted" in pages.columns else hints(F.col("raw_text"), p)
     stop = (
         F.when(F.col("__early").isNotNull(), F.col("__early"))
         .when(F.col("heading") == "BLOCK", "blocked-heading")

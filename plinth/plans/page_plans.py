@@ -217,8 +217,8 @@ ah AS (SELECT report_id, min(page0) AS headed FROM paged WHERE page0 >= 2 AND NO
 ap AS (SELECT report_id, coalesce(listed, headed)::INTEGER AS appendix_start FROM af FULL JOIN ah USING (report_id))"""
 
 
-def paged(spark, sf_dir) -> DataFrame:
-    """Documents as pages of reports (a source's documents within a range of ids), with headings, contents and appendix lines before their texts."""
+def paged(spark, sf_dir, judged: bool = False) -> DataFrame:
+    """Documents as pages of reports (a source's documents within a range of ids), with headings, contents and appendix lines before their texts. judged: with what the gate takes from a text."""
     d = spread(table(spark, sf_dir, "documents")).select("doc_id", "text", F.concat_ws("-", "source", F.floor(F.col("doc_id") / PAGES_OF_A_REPORT).cast("string")).alias("report_id"))
     w = Window.partitionBy("report_id")
     numbers = d.select("report_id", "doc_id").withColumns({"page0": (F.row_number().over(w.orderBy("doc_id")) - 1).cast("int"), "n_pages": F.count("*").over(w)})  # without texts
@@ -226,7 +226,12 @@ def paged(spark, sf_dir) -> DataFrame:
     contents = F.concat(F.repeat(F.concat(F.lit("\nSection on seams .....  "), (F.col("doc_id") % 90 + 1).cast("string")), F.lit(7)), F.lit("\nAppendix list ....  "), (F.col("doc_id") % 40).cast("string"))
     appendix = F.when(F.col("doc_id") % 11 == 0, F.when(F.col("doc_id") % 2 == 0, "\nAppendix B").otherwise("\nAPPENDIX")).otherwise("")
     raw = F.when(F.col("doc_id") % 37 == 0, " Contents \n").otherwise(F.concat(top_of(F.col("doc_id")), F.when(F.col("page0").isin(1, 2), contents).otherwise(""), appendix, F.lit("\n"), "text"))
-    return staged(out.select("report_id", "doc_id", "page0", "n_pages", raw.alias("raw_text")).withColumn("toc", P.toc_like(F.col("raw_text"))), "pages")
+    # lines are made once, in a projection of their own
+    out = out.select("report_id", "doc_id", "page0", "n_pages", raw.alias("raw_text")).withColumn("lines", P.full_lines(F.col("raw_text"))).withColumn("toc", P.toc_like(F.col("raw_text"), lines=F.col("lines"))).drop("lines")
+    if judged:
+        text = F.col("raw_text")
+        out = out.withColumn("top", first_lines(text)).withColumns({"heading": P.heading(F.col("top"), text)["class"], "domain": P.domain_class(F.col("top")), "hinted": P.hints(text)}).drop("top")
+    return staged(out, "pages")
 
 
 def ranged(pages: DataFrame) -> DataFrame:
@@ -264,9 +269,8 @@ def page_gate(spark, sf_dir):
 
 
 def gated(spark, sf_dir) -> DataFrame:
-    p = ranged(paged(spark, sf_dir))
-    top = first_lines(F.col("raw_text"))
-    rows = p.join(P.appendix_starts(p), "report_id", "left").withColumns({"heading": P.heading(top, F.col("raw_text"))["class"], "domain": P.domain_class(top), "images": (F.col("doc_id") % 5).cast("int"), "layout_ok": F.col("doc_id") % 7 != 0})
+    p = ranged(paged(spark, sf_dir, judged=True))
+    rows = p.drop("raw_text").join(P.appendix_starts(p), "report_id", "left").withColumns({"images": (F.col("doc_id") % 5).cast("int"), "layout_ok": F.col("doc_id") % 7 != 0})
     return P.gate(rows)
 
 

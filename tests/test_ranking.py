@@ -64,3 +64,9 @@ def test_cascade_writes_no_texts(spark, monkeypatch, sf_dir):
     QUERIES["label_cascade"](spark, sf_dir).count()
     assert {t for t, _ in written} == {"items", "maps", "decided"}
     assert not {"text", "panel_raw", "observation_raw", "page_text"} & {c for _, columns in written for c in columns}
+
+
+def test_gate_sorts_no_texts(spark, sf_dir):
+    from plinth.plans import page_plans as PP
+
+    assert "raw_text" not in PP.gated(spark, sf_dir).columns  # the windows stand below, with the same rows
