@@ -241,20 +241,26 @@ def right_text(images: DataFrame, blocks: DataFrame, gutter: float = 14, headroo
     middle, centre = (F.col("r.y0") + F.col("r.y1")) / 2, (F.col("b.y0") + F.col("b.y1")) / 2
     close = (F.abs(centre - middle) <= reach) | ((F.col("b.y0") <= F.col("r.y1") + reach) & (F.col("b.y1") >= F.col("r.y0") - reach))
     counts = (F.col("b.y1") > strip) & (F.col("b.y0") < F.col("pg.y1") - strip)
-    inside = {k: F.coalesce(counts & (G.covered_share(F.col("b"), r) > 0.25), F.lit(False)) for k, r in regions.items()}
+    inside = {k: F.coalesce(counts & (G.covered_share(F.col("b"), F.col(f"r{i}")) > 0.25), F.lit(False)) for i, k in enumerate(regions)}
     inside["proximity-right-half"] &= F.coalesce(close, F.lit(False))
-    entry = F.struct(F.round("b.y0", 1).alias("y"), F.round("b.x0", 1).alias("x"), F.col("block_no").alias("n"), F.rtrim("text").alias("t"), F.array(*inside.values()).alias("in"))
-    any_ = inside["primary"] | inside["expanded-vertical"] | inside["proximity-right-half"]
+    # Regions, then what lies in them, are projections of their own, so the aggregate gets plain columns.
+    near = near.withColumns({f"r{i}": r for i, r in enumerate(regions.values())})
+    near = near.withColumns({f"in{i}": x for i, x in enumerate(inside.values())})
+    entry = F.struct(F.round("b.y0", 1).alias("y"), F.round("b.x0", 1).alias("x"), F.col("block_no").alias("n"), F.rtrim("text").alias("t"), F.array("in0", "in1", "in2").alias("in"))
+    near = near.select("report_id", "page", "image_id", "r0", "r1", "r2", F.when(F.col("in0") | F.col("in1") | F.col("in2"), entry).alias("entry"))
     # Regions are of the image, so they are the same in all rows of a group.
-    page = near.groupBy("report_id", "page", "image_id").agg(F.array_sort(F.collect_list(F.when(any_, entry))).alias("e"), *[F.first(r).alias(f"r{i}") for i, r in enumerate(regions.values())])
+    page = near.groupBy("report_id", "page", "image_id").agg(F.array_sort(F.collect_list("entry")).alias("e"), *[F.first(f"r{i}").alias(f"r{i}") for i in range(3)])
     whole = lambda i: T.strip(F.array_join(F.transform(F.filter("e", lambda e: e["in"][i]), lambda e: e["t"]), "\n"))
-    found = page.select("report_id", "page", "image_id", "r0", "r1", "r2", *[whole(i).alias(f"w{i}") for i in range(3)])
-    found = found.withColumns({f"t{i}": T.clean_footers(F.col(f"w{i}")) for i in range(3)})
+    found, enough = page, F.lit(False)
+    for i, n in enumerate((least_primary, least_primary, least_half)):  # a strategy's text is made only where those before it found too little
+        found = found.withColumn(f"w{i}", F.when(~enough, whole(i))).withColumn(f"t{i}", T.clean_footers(F.col(f"w{i}")))
+        found = found.withColumn(f"n{i}", F.coalesce(F.length(f"t{i}"), F.lit(0)))
+        enough = enough | (F.col(f"n{i}") >= n)
     least = (least_primary, least_primary, least_half)
     pick = None
     for i, name in enumerate(regions):
         own = F.struct(F.lit(name).alias("strategy"), F.col(f"t{i}").alias("text"), F.col(f"r{i}").alias("region"), (F.col(f"t{i}") != F.col(f"w{i}")).alias("footer_dropped"))
-        test = F.length(f"t{i}") >= least[i]
+        test = F.col(f"n{i}") >= least[i]
         pick = F.when(test, own) if pick is None else pick.when(test, own)
     nothing = F.struct(F.lit("none").alias("strategy"), F.lit("").alias("text"), F.col("r0").alias("region"), F.lit(False).alias("footer_dropped"))
     out = found.select("report_id", "page", "image_id", pick.otherwise(nothing).alias("s"))

@@ -70,3 +70,17 @@ def test_gate_sorts_no_texts(spark, sf_dir):
     from plinth.plans import page_plans as PP
 
     assert "raw_text" not in PP.gated(spark, sf_dir).columns  # the windows stand below, with the same rows
+
+
+def test_right_texts_are_made_as_needed(spark):
+    """Where a strategy finds enough, the texts of those behind it are not made: they stand behind a test of its length."""
+    from plinth.operators import pages as P
+
+    rect = "struct<x0: double, y0: double, x1: double, y1: double>"
+    page = (0.0, 0.0, 612.0, 792.0)
+    images = spark.createDataFrame([("r", 1, 1, (50.0, 100.0, 250.0, 300.0), page), ("s", 1, 1, (50.0, 100.0, 250.0, 300.0), page)], f"report_id string, page int, image_id int, r {rect}, pg {rect}")
+    blocks = spark.createDataFrame([("r", 1, 1, (300.0, 120.0, 500.0, 160.0), "x" * 90 + "\nPage 1 of 2"), ("s", 1, 1, (300.0, 400.0, 500.0, 440.0), "y" * 50)], f"report_id string, page int, block_no int, r {rect}, text string")
+    got = {r.report_id: (r.strategy, r.right_text, r.footer_dropped) for r in P.right_text(images, blocks).collect()}
+    assert got == {"r": ("primary", "x" * 90, True), "s": ("proximity-right-half", "y" * 50, False)}
+    shown = P.right_text(images, blocks)._jdf.queryExecution().optimizedPlan().toString()
+    assert shown.count("CASE WHEN") >= 3 and "n0" in shown
